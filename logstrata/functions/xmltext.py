@@ -8,6 +8,7 @@ from xml.parsers import expat
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed format: an ampersand that does not start one of the XML entities.
 BARE_AMP = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)"
@@ -54,7 +55,7 @@ def _document(xml: bytes) -> dict:
     return root
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def xml_to_json(documents: pa.Array) -> pa.Array:
     """JSON text of each XML document, null for a malformed one."""
     out = []

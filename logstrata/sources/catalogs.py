@@ -7,13 +7,14 @@ import json
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from logstrata.functions import pytext
 
 TEMPLATE = "TEMPLATE.yml"
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _yaml_to_json(documents: pa.Array) -> pa.Array:
     import yaml
 

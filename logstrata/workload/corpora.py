@@ -186,7 +186,7 @@ CORPORA: dict[str, tuple[str, dict[str, str]]] = {
     "host_rows": (
         "events",
         {
-            "archive": f"concat('sc', cast(floor(event_id / {FILE_ROWS * 8}) as string), '_no-pcaps.zip')",
+            "archive": f"concat('sc', cast(cast(floor(event_id / {FILE_ROWS * 8}) as bigint) as string), '_no-pcaps.zip')",
             "member": f"concat('gather/h', {_s(_BUCKET + ' % 5')}, '/logs/', case {_HOST_KIND} "
             "when 0 then 'apache2/access.log' when 1 then 'audit/audit.log' when 2 then 'suricata/eve.json' "
             "when 3 then 'logstash/share/2022-system.cpu.log' when 4 then 'logstash/share/2022-system.service.log' "

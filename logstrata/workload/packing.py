@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 
 def pack(files: DataFrame) -> DataFrame:
@@ -39,6 +40,6 @@ def pack(files: DataFrame) -> DataFrame:
     return grouped.mapInArrow(archives, "path string, content binary")
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(BinaryType())
 def gzipped(contents: pa.Array) -> pa.Array:
     return pa.array([gzip.compress(c, mtime=0) for c in contents.to_pylist()], pa.binary())
