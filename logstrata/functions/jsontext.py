@@ -17,17 +17,33 @@ def _finite(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("NaN")) | F.contains(text, F.lit("Infinity")), plain).otherwise(text)
 
 
-def is_json(text: Column) -> Column:
-    """True when the whole text is exactly one JSON value.
+# What a JSON value can start with; a word must be the whole text.
+_START = r"\A[ \t\r\n]*+(?:[\[{\"\-0-9]|(?:true|false|null|NaN|Infinity)[ \t\r\n]*+\z)"
+
 
-    Spark's parser ignores what follows a complete value. Text that closes an
-    array wrapper early breaks the object wrapper and the other way round, so
-    passing both proves nothing follows.
+def guarded(text: Column) -> Column:
+    """Variant ``[value, guard]`` of a JSON text, null when it does not parse.
+
+    Spark's parser ignores what follows a complete value, and text may close the
+    list early. The guard is longer than any string in the text, so finding it
+    in second place proves that the text is exactly one value.
     """
-    t = _finite(text)
-    in_array = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
-    return F.coalesce(in_array.isNotNull() & in_object.isNotNull(), F.lit(False))
+    wrapped = F.concat(F.lit("["), _finite(text), F.lit(',"'), _guard(text), F.lit('"]'))
+    return F.when(text.rlike(_START), F.try_parse_json(wrapped))
+
+
+def _guard(text: Column) -> Column:
+    return F.repeat(F.lit("~"), F.octet_length(text))
+
+
+def is_guarded(variant: Column, text: Column) -> Column:
+    """Does the ``guarded`` variant of a text prove it to be one JSON value?"""
+    return F.coalesce(F.try_variant_get(variant, "$[1]", "string") == _guard(text), F.lit(False))
+
+
+def is_json(text: Column) -> Column:
+    """True when the whole text is exactly one JSON value."""
+    return is_guarded(guarded(text), text)
 
 
 def is_object(text: Column) -> Column:
@@ -35,18 +51,23 @@ def is_object(text: Column) -> Column:
     return text.rlike(r"\A[ \t\r\n]*+\{")
 
 
-def count_fields(text: Column) -> Column:
-    """Key/value pairs at any depth of a JSON text; 0 for scalars.
+def variant_fields(variant: Column) -> Column:
+    """Key/value pairs at any depth of a variant; 0 for scalars.
 
-    The variant round trip drops repeated keys. With every string blanked out,
-    each remaining colon belongs to exactly one pair.
+    Writing it as text leaves one of each repeated key. With every string
+    blanked out, each remaining colon belongs to exactly one pair.
     """
-    canonical = F.to_json(F.try_parse_json(_finite(text)))
-    return F.coalesce(F.regexp_count(F.regexp_replace(canonical, _STRING, ""), F.lit(":")), F.lit(0))
+    bare = F.regexp_replace(F.to_json(variant), _STRING, "")
+    return F.coalesce(F.regexp_count(bare, F.lit(":")), F.lit(0))
+
+
+def count_fields(text: Column) -> Column:
+    """Key/value pairs at any depth of a JSON text; 0 for scalars."""
+    return variant_fields(F.when(text.rlike(_START), F.try_parse_json(_finite(text))))
 
 
-def _ascii(text: Column) -> Column:
-    """Escape everything beyond ASCII as UTF-16 code units."""
+def _escaped(text: Column) -> Column:
+    """Everything beyond ASCII as escaped UTF-16 code units."""
 
     def escape(ch: Column) -> Column:
         units = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
@@ -54,16 +75,16 @@ def _ascii(text: Column) -> Column:
         two = F.concat(F.lit("\\u"), F.substring(units, 1, 4), F.lit("\\u"), F.substring(units, 5, 4))
         return F.when(F.octet_length(ch) == 1, ch).when(F.length(units) == 4, one).otherwise(two)
 
-    escaped = F.array_join(F.transform(F.split(text, ""), escape), "")
-    return F.when(F.octet_length(text) == F.length(text), text).otherwise(escaped)
+    return F.array_join(F.transform(F.split(text, ""), escape), "")
 
 
 def record_to_json(text: Column) -> Column:
     """Shard layout of a JSON text: ``", "`` and ``": "`` separators, ASCII only, key order kept."""
-    compact = F.regexp_replace(text, rf"(?s)({_STRING})|[ \t\r\n]++", "$1")
-    marked = F.regexp_replace(compact, rf"(?s)({_STRING})|([,:])", "$1$2" + _MARK)
-    spaced = F.regexp_replace(F.regexp_replace(marked, '"' + _MARK, '"'), _MARK, " ")
-    return _ascii(spaced)
+    # One pass marks the end of every string, separator and blank; a mark cannot occur in valid JSON.
+    spaced = F.regexp_replace(text, rf"(?s)({_STRING})|([,:])|[ \t\r\n]++", "$1$2" + _MARK)
+    for found, written in (('"' + _MARK, '"'), ("," + _MARK, ", "), (":" + _MARK, ": "), (_MARK, "")):
+        spaced = F.replace(spaced, F.lit(found), F.lit(written))
+    return F.when(F.octet_length(text) == F.length(text), spaced).otherwise(_escaped(spaced))
 
 
 def quote(text: Column) -> Column:

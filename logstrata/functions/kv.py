@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from logstrata.functions.pytext import SPACE
+from logstrata.functions.pytext import SPACE, capture
 
 # Fixed formats: an audit line and its key=value pairs. The timestamp is any
 # text, because exporters print it as an epoch or as a date.
@@ -23,20 +23,28 @@ def unquote(value: Column) -> Column:
     return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
-def kv_tokens(text: Column) -> Column:
-    """All ``key=value`` tokens in order, as array<struct<key, value>>, values still quoted."""
-    tokens = F.regexp_extract_all(text, F.lit(KV_PAIR), F.lit(0))
+def _raw_tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(KV_PAIR), F.lit(0))
+
+
+def _key(token: Column) -> Column:
+    return F.substring_index(token, "=", 1)
+
 
-    def halves(token: Column) -> Column:
-        at = F.locate("=", token)
-        return F.struct(
-            F.substring(token, F.lit(1), at - 1).alias("key"),
-            F.substring(token, at + 1, F.length(token)).alias("value"),
-        )
+def _value(token: Column) -> Column:
+    return F.substring(token, F.locate("=", token) + 1, F.length(token))
 
-    return F.transform(tokens, halves)
+
+def kv_tokens(text: Column) -> Column:
+    """All ``key=value`` tokens in order, as array<struct<key, value>>, values still quoted."""
+    return F.transform(_raw_tokens(text), lambda t: F.struct(_key(t).alias("key"), _value(t).alias("value")))
 
 
 def kv_map(tokens: Column) -> Column:
     """Tokens as a map of unquoted values; the last value of a repeated key wins."""
     return F.map_from_arrays(tokens["key"], F.transform(tokens["value"], unquote))
+
+
+def audit_parts(line: Column) -> Column:
+    """``[type, epoch, audit_id, tail]`` of an audit line, null without its prefix."""
+    return capture(line, AUDIT_PREFIX + r"(.*)\z", 4)

@@ -62,3 +62,23 @@ def shard_name(shard_id: Column) -> Column:
     """``00042.jsonl``; ids beyond five digits are printed whole."""
     digits = shard_id.cast("string")
     return F.concat(F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits), F.lit(".jsonl"))
+
+
+_SPLIT = "\x01"
+
+
+def capture(text: Column, regex: str, groups: int) -> Column:
+    """All groups of a whole-text match as an array, null without one; unmatched groups are empty.
+
+    One replacement joins the groups with a control character. Text that itself
+    contains it is taken apart group by group.
+    """
+    joined = F.split(F.regexp_replace(text, regex, _SPLIT.join(f"${i}" for i in range(1, groups + 1))), _SPLIT, -1)
+    each = F.array(*[F.regexp_extract(text, regex, i) for i in range(1, groups + 1)])
+    return F.when(F.contains(text, F.lit(_SPLIT)), F.when(text.rlike(regex), each)).otherwise(
+        F.when(text.rlike(regex), joined) if groups == 1 else _sized(joined, groups)
+    )
+
+
+def _sized(parts: Column, groups: int) -> Column:
+    return F.element_at(F.filter(F.array(parts), lambda p: F.size(p) == groups), 1)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logstrata.functions import jsontext, kv, pytext
+from logstrata.functions.barrier import once
 
 JSON_LINES, AUDITD, ACCESS_LOG = "json_lines", "auditd", "access_log"
 XML_EVENTS, JSON_ARRAY, EVENTS_WRAPPER, WINDOWS_EVENTS = "xml_events", "json_array", "events_wrapper", "windows_events"
@@ -39,12 +40,9 @@ def record_ref_type(fmt: Column) -> Column:
 
 def _probe_lines(lines: DataFrame) -> DataFrame:
     """Stripped lines that are not blank; a lone carriage return ends a line here too."""
-    pieces = F.posexplode(F.split("line", "\r"))
-    return (
-        lines.select("path", "block", "seq", pieces.alias("piece", "part"))
-        .withColumn("text", pytext.strip(F.col("part")))
-        .where(F.length("text") > 0)
-    )
+    pieces = F.posexplode_outer(F.split("line", "\r"))
+    parts = lines.select("path", "block", "seq", pieces.alias("piece", "part"))
+    return once(parts, text=pytext.strip(F.col("part"))).where(F.length("text") > 0)
 
 
 def probe(lines: DataFrame) -> DataFrame:
@@ -71,7 +69,7 @@ def is_json_lines(lines: DataFrame) -> DataFrame:
     """Per path: at least one line that is not blank, and every one of them a JSON value."""
     valid = F.when(pytext.has_text(F.col("part")), jsontext.is_json(pytext.strip(F.col("part"))))
     return (
-        lines.select("path", F.explode(F.split("line", "\r")).alias("part"))
+        lines.select("path", F.explode_outer(F.split("line", "\r")).alias("part"))
         .groupBy("path")
         .agg(F.coalesce(F.bool_and(valid), F.lit(False)).alias("json_lines"))
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logstrata.functions import jsontext, kv, pytext, xmltext
+from logstrata.functions.barrier import once
 from logstrata.operators import framing
 
 RECORD_COLUMNS = ["path", "block", "position", "record_ref", "record_json", "field_count", "is_object", "problem"]
@@ -29,12 +30,15 @@ def checked(records: DataFrame, mode: str = "failfast") -> DataFrame:
 
 
 def _json_records(rows: DataFrame, text: str, problem: str) -> DataFrame:
-    ok = jsontext.is_json(F.col(text))
+    source = F.col(text)
+    parsed = once(rows, _variant=jsontext.guarded(source))
+    judged = once(
+        parsed, _ok=jsontext.is_guarded(F.col("_variant"), source), field_count=jsontext.variant_fields(F.col("_variant"))
+    )
     return (
-        rows.withColumn("_ok", ok)
-        .withColumn("record_json", F.when(F.col("_ok"), F.trim(F.col(text), F.lit(" \t\r\n"))))
-        .withColumn("field_count", F.when(F.col("_ok"), jsontext.count_fields(F.col(text))))
-        .withColumn("is_object", F.col("_ok") & jsontext.is_object(F.col(text)))
+        judged.withColumn("record_json", F.when(F.col("_ok"), F.trim(source, F.lit(" \t\r\n"))))
+        .withColumn("field_count", F.when(F.col("_ok"), F.col("field_count")))
+        .withColumn("is_object", F.col("_ok") & jsontext.is_object(source))
         .withColumn("problem", F.when(~F.col("_ok"), F.lit(problem)))
         .withColumn("position", F.col("record_ref"))
         .select(*RECORD_COLUMNS)
@@ -60,21 +64,12 @@ def _text_lines(lines: DataFrame) -> DataFrame:
 
 def auditd_fields(lines: DataFrame) -> DataFrame:
     """``type=… msg=audit(…): k=v …`` lines with their fields as a map."""
-    head = F.regexp_extract("text", kv.AUDIT_PREFIX, 0)
-
-    def part(i: int) -> Column:
-        return F.regexp_extract("head", kv.AUDIT_PREFIX, i)
-
-    prefix = F.create_map(
-        F.lit("type"), part(1), F.lit("epoch"), part(2), F.lit("audit_id"), part(3)
-    )
-    tail = F.substring(F.col("text"), F.length("head") + 1, F.length("text"))
-    return (
-        _text_lines(lines)
-        .withColumn("head", head)
-        .withColumn("tokens", kv.kv_tokens(tail))
-        .withColumn("fields", F.when(F.col("head") != "", F.map_concat(prefix, kv.kv_map(F.col("tokens")))))
-        .withColumn("problem", F.when(F.col("head") == "", F.lit("no audit prefix")))
+    parts = F.col("parts")
+    prefix = F.map_from_arrays(F.array(F.lit("type"), F.lit("epoch"), F.lit("audit_id")), F.slice(parts, 1, 3))
+    split = once(_text_lines(lines), parts=kv.audit_parts(F.col("text")))
+    tokens = split.withColumn("tokens", kv.kv_tokens(parts[3]))
+    return once(tokens, fields=F.map_concat(prefix, kv.kv_map(F.col("tokens")))).withColumn(
+        "problem", F.when(F.col("fields").isNull(), F.lit("no audit prefix"))
     )
 
 
@@ -145,11 +140,10 @@ def grok_regex(pattern: str) -> tuple[str, list[str]]:
 def grok_fields(lines: DataFrame, pattern: str) -> DataFrame:
     """One column per pattern field, null where an optional part is absent."""
     regex, names = grok_regex(pattern)
-    values = [F.nullif(F.regexp_extract("text", regex, i + 1), F.lit("")) for i in range(len(names))]
-    return (
-        _text_lines(lines)
-        .withColumn("problem", F.when(~F.col("text").rlike(regex), F.lit("pattern does not match")))
-        .withColumn("fields", F.struct(*[v.alias(n) for v, n in zip(values, names)]))
+    split = once(_text_lines(lines), parts=pytext.capture(F.col("text"), regex, len(names)))
+    values = [F.nullif(F.col("parts")[i], F.lit("")).alias(n) for i, n in enumerate(names)]
+    return split.withColumn("problem", F.when(F.col("parts").isNull(), F.lit("pattern does not match"))).withColumn(
+        "fields", F.struct(*values)
     )
 
 
@@ -244,8 +238,7 @@ def xml_events(chunks: DataFrame) -> DataFrame:
         xmltext.escape_bare_amp(F.decode(F.col("event"), "ISO-8859-1")), "ISO-8859-1"
     )
     return (
-        framing.xml_event_split(chunks)
-        .withColumn("record_json", xmltext.xml_to_json(repaired))
+        once(framing.xml_event_split(chunks).withColumn("_json", xmltext.xml_to_json(repaired)), record_json=F.col("_json"))
         .where("record_json is not null")
         .withColumn("field_count", jsontext.count_fields(F.col("record_json")))
         .withColumn("is_object", F.lit(True))
@@ -280,12 +273,17 @@ def xml_event_fields(chunks: DataFrame) -> DataFrame:
 
 def windows_events(decoded: DataFrame) -> DataFrame:
     """Decoded event JSON keyed by its record id; entries that did not decode are skipped."""
-    typed = F.try_parse_json("event")
+    text = F.col("event")
+    parsed = once(decoded, _variant=jsontext.guarded(text))
+    judged = once(
+        parsed,
+        _ok=jsontext.is_guarded(F.col("_variant"), text) & jsontext.is_object(text),
+        record_ref=F.try_variant_get("_variant", "$[0].Event.System.EventRecordID", "bigint"),
+        field_count=jsontext.variant_fields(F.col("_variant")),
+    )
     return (
-        decoded.where(jsontext.is_json(F.col("event")) & jsontext.is_object(F.col("event")))
-        .withColumn("record_ref", F.try_variant_get(typed, "$.Event.System.EventRecordID", "bigint"))
-        .withColumn("record_json", F.col("event"))
-        .withColumn("field_count", jsontext.count_fields(F.col("event")))
+        judged.where("_ok")
+        .withColumn("record_json", text)
         .withColumn("is_object", F.lit(True))
         .withColumn("problem", F.when(F.col("record_ref").isNull(), F.lit("no EventRecordID")))
         .withColumn("position", F.col("seq"))

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logstrata.functions import pytext
+from logstrata.functions.barrier import once
 from logstrata.operators.ordering import block_prefix
+from logstrata.session import materialize
 
 EVENT_CLOSE = "</Event>"
 # Fixed format: the start of an event tag, which takes attributes or ends at once.
@@ -79,7 +81,7 @@ def xml_event_split(chunks: DataFrame) -> DataFrame:
     return (
         chunk_offsets(chunks)
         .where("terminated")
-        .withColumn("_latin", _latin("chunk"))
+        .transform(lambda d: once(d, _latin=_latin("chunk")))
         .where(F.col("_latin").rlike(EVENT_START))
         .withColumn("_lead", F.length(F.regexp_extract("_latin", rf"(?s)\A(.*){EVENT_START}", 1)))
         .select(
@@ -98,16 +100,15 @@ def xml_truncated_events(chunks: DataFrame) -> DataFrame:
     """Refs of event starts that never get a close of their own."""
     mark = len("<Event")
     starts = (
-        chunk_offsets(chunks)
-        .withColumn("_pieces", F.split(_latin("chunk"), r"<Event(?=[ >])", -1))
+        once(chunk_offsets(chunks), _pieces=F.split(_latin("chunk"), r"<Event(?=[ >])", -1))
         # The first piece precedes any start; the last start of a closed chunk is a whole event.
-        .withColumn("_cut", F.size("_pieces") - F.when(F.col("terminated"), 2).otherwise(1))
+        .transform(lambda d: once(d, _cut=F.size("_pieces") - F.when(F.col("terminated"), 2).otherwise(1)))
         .where("_cut > 0")
         .select(
             "path",
             "byte_offset",
             "_cut",
-            F.posexplode(F.transform("_pieces", lambda p: F.length(p))).alias("_pos", "_len"),
+            F.posexplode_outer(F.transform("_pieces", lambda p: F.length(p))).alias("_pos", "_len"),
         )
         .where("_pos < _cut")
     )
@@ -179,7 +180,8 @@ def csv_row_offsets(lines: DataFrame) -> DataFrame:
         "path", "block", F.col("opened").alias("_entry")
     )
     stated = _quote_state(shaped.join(entry, ["path", "block"]), ["path", "block"], "seq", F.col("_entry"))
-    starts = stated.withColumn("_start", F.when(~F.col("opened"), F.col("byte_offset")))
+    # Written once: the row starts are looked at per block and per line.
+    starts = materialize(stated.withColumn("_start", F.when(~F.col("opened"), F.col("byte_offset"))), "csv_lines")
     last = starts.groupBy("path", "block").agg(F.max("_start").alias("_last"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select("path", "block", F.max("_last").over(before).alias("_carried"))
@@ -193,7 +195,7 @@ def csv_row_offsets(lines: DataFrame) -> DataFrame:
 
 def csv_rows(lines: DataFrame) -> DataFrame:
     """One row per CSV record: ``(path, block, record_ref, text)``, lines joined again."""
-    return (
+    rows = (
         csv_row_offsets(lines)
         .groupBy("path", F.col("row_offset").alias("record_ref"))
         .agg(
@@ -203,3 +205,4 @@ def csv_rows(lines: DataFrame) -> DataFrame:
             ).alias("text"),
         )
     )
+    return once(rows, record_ref=F.col("record_ref"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from logstrata.functions import pytext
+from logstrata.functions.barrier import once
 
 TEMPLATE = "TEMPLATE.yml"
 
@@ -37,9 +38,10 @@ def catalog_samples(documents: DataFrame) -> DataFrame:
         "mitre_technique variant, datasets array<struct<path string, sourcetype string>>",
     )
     technique = F.coalesce(F.to_json(F.col("doc.mitre_technique")), F.lit("null"))
+    listed = documents.where(pytext.basename(F.col("path")) != TEMPLATE)
     return (
-        documents.where(pytext.basename(F.col("path")) != TEMPLATE)
-        .select(F.col("path").alias("manifest_path"), parsed.alias("doc"))
-        .select("manifest_path", (~technique.isin(*_EMPTY)).alias("labeled"), F.posexplode("doc.datasets").alias("pos", "entry"))
+        once(listed.select(F.col("path").alias("manifest_path"), parsed.alias("_parsed")), doc=F.col("_parsed"))
+        .select("manifest_path", (~technique.isin(*_EMPTY)).alias("labeled"), F.posexplode_outer("doc.datasets").alias("pos", "entry"))
+        .where("pos is not null")
         .select("manifest_path", "pos", "entry.path", "entry.sourcetype", "labeled")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata.functions import pytext
+from logstrata.functions.barrier import once
 from logstrata.operators.framing import EVENT_CLOSE
 
 # A row holds at most 2 GB; larger files are hashed as a stream.
@@ -149,16 +150,15 @@ def content_chunks(files: DataFrame) -> DataFrame:
 
 
 def _pieces(files: DataFrame, pieces: Column, name: str) -> DataFrame:
-    return (
-        files.select("path", pieces.alias("_pieces"))
-        .select("path", F.size("_pieces").alias("_count"), F.posexplode("_pieces").alias("seq", name))
-        .select(
-            "path",
-            F.lit(0).cast("bigint").alias("block"),
-            F.col("seq").cast("bigint").alias("seq"),
-            name,
-            (F.col("seq") == F.col("_count") - 1).alias("_tail"),
-        )
+    # The count is fixed before the pieces are spread, so that rows do not carry the whole list along.
+    split = once(files.select("path", "content"), _pieces=pieces).drop("content")
+    counted = once(split, _count=F.size("_pieces"))
+    return counted.select("path", "_count", F.posexplode_outer("_pieces").alias("seq", name)).select(
+        "path",
+        F.lit(0).cast("bigint").alias("block"),
+        F.col("seq").cast("bigint").alias("seq"),
+        name,
+        (F.col("seq") == F.col("_count") - 1).alias("_tail"),
     )
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logstrata.functions.barrier import once
+
 # Rows per derived file, so that no file grows with the tables.
 FILE_ROWS = 400
 
@@ -245,7 +247,8 @@ def corpus(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The corpus as a DataFrame."""
     table, columns = CORPORA[name]
     rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return rows.selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
+    # Behind the barrier the columns behave like those of a scan.
+    return once(rows, **{c: F.expr(e) for c, e in columns.items()}).select(*columns)
 
 
 def joined_lines(rows: DataFrame, keys: list[str], separator: str = "\n", closing: str = "\n") -> DataFrame:
@@ -257,5 +260,5 @@ def joined_lines(rows: DataFrame, keys: list[str], separator: str = "\n", closin
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Physical lines of the CSV files: rows cut at the newlines inside their fields, after a header."""
     rows = corpus(spark, sf_dir, "csv_logical").unionByName(corpus(spark, sf_dir, "csv_headers").distinct())
-    pieces = rows.select("path", "seq", F.posexplode(F.split("line", "\n")).alias("_part", "line"))
+    pieces = rows.select("path", "seq", F.posexplode_outer(F.split("line", "\n")).alias("_part", "line"))
     return pieces.select("path", (F.col("seq") * 2 + F.col("_part")).alias("seq"), "line")

@@ -324,14 +324,14 @@ def count_fields(spark, sf_dir):
 @query
 def kv_tokens(spark, sf_dir):
     lines = corpora.corpus(spark, sf_dir, "audit_lines")
-    tokens = lines.select("path", "seq", F.posexplode(kv.kv_tokens(F.col("line"))).alias("pos", "token"))
+    tokens = lines.select("path", "seq", F.posexplode_outer(kv.kv_tokens(F.col("line"))).alias("pos", "token")).where("pos is not null")
     return tokens.select("path", "seq", "pos", "token.key", "token.value")
 
 
 @query
 def unquote(spark, sf_dir):
     lines = corpora.corpus(spark, sf_dir, "audit_lines")
-    tokens = lines.select("path", "seq", F.posexplode(kv.kv_tokens(F.col("line"))).alias("pos", "token"))
+    tokens = lines.select("path", "seq", F.posexplode_outer(kv.kv_tokens(F.col("line"))).alias("pos", "token")).where("pos is not null")
     return tokens.select("path", "seq", "pos", kv.unquote(F.col("token.value")).alias("value"))
 
 
