@@ -51,31 +51,34 @@ def is_object(text: Column) -> Column:
     return text.rlike(r"\A[ \t\r\n]*+\{")
 
 
-def variant_fields(variant: Column) -> Column:
-    """Key/value pairs at any depth of a variant; 0 for scalars.
+def text_fields(canonical: Column) -> Column:
+    """Key/value pairs at any depth of a JSON text without repeated keys; 0 for scalars.
 
-    Writing it as text leaves one of each repeated key. With every string
-    blanked out, each remaining colon belongs to exactly one pair.
+    With every string blanked out, each remaining colon belongs to exactly one pair.
     """
-    bare = F.regexp_replace(F.to_json(variant), _STRING, "")
+    bare = F.regexp_replace(canonical, _STRING, "")
     return F.coalesce(F.regexp_count(bare, F.lit(":")), F.lit(0))
 
 
+def variant_fields(variant: Column) -> Column:
+    """Key/value pairs of a variant; writing it as text leaves one of each repeated key."""
+    return text_fields(F.to_json(variant))
+
+
 def count_fields(text: Column) -> Column:
     """Key/value pairs at any depth of a JSON text; 0 for scalars."""
     return variant_fields(F.when(text.rlike(_START), F.try_parse_json(_finite(text))))
 
 
 def _escaped(text: Column) -> Column:
-    """Everything beyond ASCII as escaped UTF-16 code units."""
+    """Everything beyond ASCII as escaped UTF-16 code units, one pass per distinct character."""
 
     def escape(ch: Column) -> Column:
         units = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
-        one = F.concat(F.lit("\\u"), units)
-        two = F.concat(F.lit("\\u"), F.substring(units, 1, 4), F.lit("\\u"), F.substring(units, 5, 4))
-        return F.when(F.octet_length(ch) == 1, ch).when(F.length(units) == 4, one).otherwise(two)
+        return F.regexp_replace(units, "(.{4})", r"\\u$1")
 
-    return F.array_join(F.transform(F.split(text, ""), escape), "")
+    foreign = F.array_distinct(F.regexp_extract_all(text, F.lit(r"[^\x00-\x7F]"), F.lit(0)))
+    return F.aggregate(foreign, text, lambda done, ch: F.replace(done, ch, escape(ch)))
 
 
 def record_to_json(text: Column) -> Column:
@@ -93,16 +96,27 @@ def quote(text: Column) -> Column:
     return F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
 
 
-def element_text(raw: Column, variant: Column) -> Column:
+def element_text(raw: Column, typed: Column) -> Column:
     """JSON text of a nested value from its two readings.
 
     ``raw`` (read as string) keeps the key order but loses string quotes;
-    ``variant`` keeps the type but sorts the keys.
+    ``typed`` (a variant written as text) keeps the type but sorts the keys.
     """
-    typed = F.to_json(variant)
     return F.when(F.startswith(typed, F.lit('"')), typed).otherwise(F.coalesce(raw, F.lit("null")))
 
 
+def elements(document: Column, key: str) -> Column:
+    """The list under ``key`` as array<struct<text, typed>>, null if there is none."""
+    raw = F.from_json(document, f"`{key}` array<string>")[key]
+    typed = F.from_json(document, f"`{key}` array<variant>")[key]
+    typed = F.transform(typed, lambda v: F.to_json(v))
+    pairs = F.transform(
+        F.arrays_zip(raw.alias("r"), typed.alias("t")),
+        lambda x: F.struct(element_text(x["r"], x["t"]).alias("text"), x["t"].alias("typed")),
+    )
+    return F.when(is_json(document), pairs)
+
+
 # Keys of an event wrapper that carry no record content (fixed values).
 WRAPPER_KEYS = ("@timestamp", "ecs")
 
@@ -118,10 +132,10 @@ def normalize_event(event: Column) -> Column:
     typed = F.map_filter(F.from_json(event, "map<string,variant>"), lambda k, _: ~k.isin(dropped))
     pairs = F.transform(
         F.map_keys(typed),
-        lambda k: F.concat(quote(k), F.lit(":"), element_text(F.element_at(raw, k), F.element_at(typed, k))),
+        lambda k: F.concat(quote(k), F.lit(":"), element_text(F.element_at(raw, k), F.to_json(F.element_at(typed, k)))),
     )
     rebuilt = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
-    only = F.element_at(F.map_keys(typed), 1)
+    only = F.get(F.map_keys(typed), F.lit(0))
     # A string value reads as its decoded text, an object as its JSON text.
     inner = F.element_at(raw, only)
     unwrapped = F.when(is_json(inner) & is_object(inner), inner)

@@ -81,4 +81,4 @@ def capture(text: Column, regex: str, groups: int) -> Column:
 
 
 def _sized(parts: Column, groups: int) -> Column:
-    return F.element_at(F.filter(F.array(parts), lambda p: F.size(p) == groups), 1)
+    return F.get(F.filter(F.array(parts), lambda p: F.size(p) == groups), F.lit(0))

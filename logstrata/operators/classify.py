@@ -187,12 +187,10 @@ def fixture_kind(path: Column) -> Column:
 
 def has_normalizable_event(documents: DataFrame) -> DataFrame:
     """Per document ``(path, content)``: a JSON object with a list of events, one of them usable."""
-    raw = F.from_json("content", "events array<string>")["events"]
-    typed = F.from_json("content", "events array<variant>")["events"]
-    zipped = F.arrays_zip(raw.alias("r"), typed.alias("v"))
-    usable = F.exists(zipped, lambda x: jsontext.normalize_event(jsontext.element_text(x["r"], x["v"])).isNotNull())
-    whole = jsontext.is_json(F.col("content")) & jsontext.is_object(F.col("content"))
-    return documents.select("path", F.coalesce(whole & usable, F.lit(False)).alias("usable"))
+    listed = once(documents, elements=jsontext.elements(F.col("content"), "events"))
+    usable = F.exists("elements", lambda e: jsontext.normalize_event(e["text"]).isNotNull())
+    whole = jsontext.is_object(F.col("content"))
+    return listed.select("path", F.coalesce(whole & usable, F.lit(False)).alias("usable"))
 
 
 def fixture_select(files: DataFrame, probes: DataFrame, documents: DataFrame) -> DataFrame:

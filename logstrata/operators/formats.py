@@ -26,7 +26,10 @@ def checked(records: DataFrame, mode: str = "failfast") -> DataFrame:
     if mode != "failfast":
         raise ValueError(f"unknown mode {mode!r}")
     message = F.concat_ws(" ", F.lit("record"), "record_ref", F.lit("of"), "path", F.lit("-"), "problem")
-    return records.where(F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    raised = F.when(F.col("problem").isNotNull(), F.raise_error(message).cast("string"))
+    # Held together, so that a filter on the others cannot drop the row before it is reported.
+    judged = [c for c in ("is_object", "field_count") if c in records.columns]
+    return once(records, **{c: F.col(c) for c in judged}, problem=raised)
 
 
 def _json_records(rows: DataFrame, text: str, problem: str) -> DataFrame:
@@ -193,43 +196,40 @@ def csv(lines: DataFrame) -> DataFrame:
     )
 
 
-def _elements(documents: DataFrame, key: str) -> DataFrame:
-    """Elements of the list under ``key`` as JSON texts in document order, null if there is none."""
-    raw = F.from_json("content", f"`{key}` array<string>")[key]
-    typed = F.from_json("content", f"`{key}` array<variant>")[key]
-    texts = F.transform(F.arrays_zip(raw.alias("r"), typed.alias("v")), lambda x: jsontext.element_text(x["r"], x["v"]))
-    whole = jsontext.is_json(F.col("content"))
-    return documents.withColumn("elements", F.when(whole, texts))
-
-
 def _exploded(documents: DataFrame, problem: str) -> DataFrame:
-    """One record per element; a document without a list leaves one problem row."""
-    return (
-        documents.select("path", F.col("elements").isNull().alias("_bad"), F.posexplode_outer("elements"))
-        .where("pos is not null or _bad")
-        .withColumn("is_object", F.coalesce(jsontext.is_object(F.col("col")), F.lit(False)))
-        .select(
-            "path",
-            F.lit(0).cast("bigint").alias("block"),
-            F.coalesce("pos", F.lit(0)).cast("bigint").alias("position"),
-            F.coalesce("pos", F.lit(0)).cast("bigint").alias("record_ref"),
-            F.col("col").alias("record_json"),
-            F.when(~F.col("_bad"), jsontext.count_fields(F.col("col"))).alias("field_count"),
-            "is_object",
-            F.when(F.col("_bad"), F.lit(problem)).alias("problem"),
-        )
+    """One record per ``(text, typed)`` element; a document without a list leaves one problem row."""
+    bad = F.col("elements").isNull()
+    spread = documents.select("path", bad.alias("_bad"), F.posexplode_outer("elements").alias("pos", "element"))
+    # An empty list leaves nothing at all.
+    records = once(spread.where("pos is not null or _bad"), element=F.col("element"))
+    at = F.coalesce("pos", F.lit(0)).cast("bigint")
+    return records.select(
+        "path",
+        F.lit(0).cast("bigint").alias("block"),
+        at.alias("position"),
+        at.alias("record_ref"),
+        F.col("element.text").alias("record_json"),
+        F.when(~F.col("_bad"), jsontext.text_fields(F.col("element.typed"))).alias("field_count"),
+        F.coalesce(F.startswith("element.typed", F.lit("{")), F.lit(False)).alias("is_object"),
+        F.when(F.col("_bad"), F.lit(problem)).alias("problem"),
     )
 
 
 def json_array(documents: DataFrame) -> DataFrame:
     """``{"Records": […]}`` documents: the ref is the position in the list."""
-    return _exploded(_elements(documents, "Records"), "no Records list")
+    listed = once(documents, elements=jsontext.elements(F.col("content"), "Records"))
+    return _exploded(listed, "no Records list")
 
 
 def events_wrapper(documents: DataFrame) -> DataFrame:
     """``{"events": […]}`` documents: the ref counts the events that survive normalisation."""
-    kept = F.filter(F.transform("elements", jsontext.normalize_event), lambda e: e.isNotNull())
-    return _exploded(_elements(documents, "events").withColumn("elements", kept), "no events list")
+    listed = once(documents, elements=jsontext.elements(F.col("content"), "events"))
+    normalized = F.transform("elements", lambda e: jsontext.normalize_event(e["text"]))
+    kept = F.transform(
+        F.filter(normalized, lambda t: t.isNotNull()),
+        lambda t: F.struct(t.alias("text"), F.to_json(F.try_parse_json(t)).alias("typed")),
+    )
+    return _exploded(once(listed, elements=kept), "no events list")
 
 
 def xml_events(chunks: DataFrame) -> DataFrame:

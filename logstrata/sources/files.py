@@ -23,6 +23,10 @@ def clean_path(path: Column) -> Column:
     return F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
 
 
+def _path() -> Column:
+    return clean_path(F.col("_metadata.file_path")).alias("path")
+
+
 def _reader(spark: SparkSession, glob: str | None = None):
     reader = spark.read.option("recursiveFileLookup", "true")
     return reader.option("pathGlobFilter", glob) if glob else reader
@@ -34,7 +38,7 @@ def _framed(spark: SparkSession, paths, separator: str, name: str, glob: str | N
         .option("lineSep", separator)
         .text(paths)
         .select(
-            clean_path(F.col("_metadata.file_path")).alias("path"),
+            _path(),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq"),
             F.col("value").alias(name),
@@ -59,20 +63,20 @@ def read_texts(spark: SparkSession, paths, glob: str | None = None) -> DataFrame
         _reader(spark, glob)
         .option("wholetext", "true")
         .text(paths)
-        .select(clean_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("content"))
+        .select(_path(), F.col("value").alias("content"))
     )
 
 
 def list_files(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
     """``(path, bytes)`` without reading any content."""
     files = _reader(spark, glob).format("binaryFile").load(paths)
-    return files.select(clean_path(F.col("path")).alias("path"), F.col("length").alias("bytes"))
+    return files.select(_path(), F.col("length").alias("bytes"))
 
 
 def read_contents(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
     """``(path, bytes, content BINARY)``."""
     files = _reader(spark, glob).format("binaryFile").load(paths)
-    return files.select(clean_path(F.col("path")).alias("path"), F.col("length").alias("bytes"), "content")
+    return files.select(_path(), F.col("length").alias("bytes"), "content")
 
 
 def file_checksum(content: Column) -> Column:
@@ -81,9 +85,9 @@ def file_checksum(content: Column) -> Column:
 
 def checksums(spark: SparkSession, paths, glob: str | None = None, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
     """``(path, bytes, checksum_sha256)`` of every file."""
-    files = _reader(spark, glob).format("binaryFile").load(paths).withColumnRenamed("length", "bytes")
+    files = _reader(spark, glob).format("binaryFile").load(paths).withColumn("bytes", F.col("length"))
     small = files.where(F.col("bytes") <= limit).select(
-        clean_path(F.col("path")).alias("path"), "bytes", file_checksum(F.col("content")).alias("checksum_sha256")
+        _path(), "bytes", file_checksum(F.col("content")).alias("checksum_sha256")
     )
     large = list_files(spark, paths, glob).where(F.col("bytes") > limit)
     lines = read_lines(spark, paths, glob).where(F.col("file_size") > limit)
