@@ -59,12 +59,7 @@ def read_chunks(spark: SparkSession, paths, glob: str | None = None) -> DataFram
 
 def read_texts(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
     """``(path, content)``: one row per document; compressed files are read as plain text."""
-    return (
-        _reader(spark, glob)
-        .option("wholetext", "true")
-        .text(paths)
-        .select(_path(), F.col("value").alias("content"))
-    )
+    return _reader(spark, glob).text(paths, wholetext=True).select(_path(), F.col("value").alias("content"))
 
 
 def list_files(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
