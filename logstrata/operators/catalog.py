@@ -72,10 +72,14 @@ def incremental_new_files(identified: DataFrame, manifest: DataFrame) -> DataFra
 def manifest_build(sources: DataFrame, records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """One row per ingested file, files without surviving records included."""
     counts = records.groupBy("source_id").agg(F.count(F.lit(1)).alias("record_count"))
+    return manifest_rows(sources.join(counts, "source_id", "left"), ingested_at)
+
+
+def manifest_rows(counted: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+    """Manifest rows of sources that already carry their ``record_count``, null for none."""
     today = F.date_format(F.current_date(), "yyyy-MM-dd") if ingested_at is None else ingested_at
     return (
-        sources.join(counts, "source_id", "left")
-        .withColumn("record_count", F.coalesce("record_count", F.lit(0)).cast("bigint"))
+        counted.withColumn("record_count", F.coalesce("record_count", F.lit(0)).cast("bigint"))
         .withColumn("ingested_at", today)
         .withColumn("record_ref_type", record_ref_type(F.col("format")))
         .withColumn("notes", F.lit(""))

@@ -10,20 +10,24 @@ def corpus_count(index: DataFrame) -> DataFrame:
     return index.agg(F.count(F.lit(1)).alias("records"))
 
 
-def fetch_by_index(wanted: DataFrame, index: DataFrame, shard_lines: DataFrame) -> DataFrame:
-    """Records at the wanted ``idx`` values, located by shard and offset.
+def located(wanted: DataFrame, index: DataFrame) -> DataFrame:
+    """``(asked, shard_id, offset)`` of the wanted ``idx`` values.
 
-    A negative ``idx`` counts from the end, and one beyond the corpus has a null line.
+    A negative one counts from the end; one beyond the corpus has no place.
     """
     total = index.agg(F.count(F.lit(1)))
     placed = wanted.withColumn("_total", total.scalar()).select(
         F.col("idx").alias("asked"),
         F.when(F.col("idx") < 0, F.col("idx") + F.col("_total")).otherwise(F.col("idx")).alias("idx"),
     )
-    located = placed.join(index.select("idx", "shard_id", "offset"), "idx", "left")
-    return located.join(shard_lines.select("shard_id", "offset", "line"), ["shard_id", "offset"], "left").select(
-        F.col("asked").alias("idx"), "line"
-    )
+    return placed.join(index.select("idx", "shard_id", "offset"), "idx", "left").drop("idx")
+
+
+def fetch_by_index(wanted: DataFrame, index: DataFrame, shard_lines: DataFrame) -> DataFrame:
+    """Records at the wanted ``idx`` values, read by shard and offset; null where there is none."""
+    lines = shard_lines.select("shard_id", "offset", "line")
+    found = located(wanted, index).join(lines, ["shard_id", "offset"], "left")
+    return found.select(F.col("asked").alias("idx"), "line")
 
 
 def indices_for_source(wanted: DataFrame, index: DataFrame, dictionary: DataFrame) -> DataFrame:

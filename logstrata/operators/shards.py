@@ -15,19 +15,22 @@ def _column(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def global_index(records: DataFrame, first: int | Column = 0) -> DataFrame:
-    """Add ``idx``: the position of each record in (source order, order inside the source).
-
-    ``source_ord`` is the sort key of the record's source, unique per source.
-    Records are counted per block; blocks are small whatever the size of their
-    source, and only their counts are put into a total order.
+def global_index(records: DataFrame, sources: DataFrame, first: int | Column = 0) -> DataFrame:
+    """Add ``source_id`` and ``idx``: the position of each record in (source order, order inside the source).
+
+    ``sources`` is ``(path, source_id, source_ord)``; records of other paths are
+    left out. Records are counted per block, and only those counts meet the
+    sources and are put into a total order. The records themselves join on
+    ``(path, block)``, which they are already grouped by, so a source holding a
+    large share of them is no hot key.
     """
-    counts = records.groupBy("source_ord", "block").agg(F.count(F.lit(1)).alias("_n"))
-    bases = ordered_prefix(counts, ["source_ord", "block"], F.col("_n"), "_base").drop("_n")
-    inside = Window.partitionBy("source_ord", "block").orderBy("position")
+    counts = records.groupBy("path", "block").agg(F.count(F.lit(1)).alias("_n"))
+    placed = counts.join(sources.select("path", "source_id", "source_ord"), "path")
+    bases = ordered_prefix(placed, ["source_ord", "block"], F.col("_n"), "_base").drop("_n", "source_ord")
+    inside = Window.partitionBy("path", "block").orderBy("position")
     return (
         records.withColumn("_rank", F.row_number().over(inside))
-        .join(bases, ["source_ord", "block"])
+        .join(bases, ["path", "block"])
         .withColumn("idx", _column(first) + F.col("_base") + F.col("_rank") - 1)
         .drop("_base", "_rank")
     )

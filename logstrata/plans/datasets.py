@@ -162,24 +162,25 @@ def attack_catalog(samples: DataFrame, files_: DataFrame, payload) -> Discovery:
 # --- real folders ------------------------------------------------------------------
 
 
-def _members(spark: SparkSession, root: str, glob: str, **options) -> DataFrame:
-    """Members of all archives below ``root``, unpacked once and kept for the run."""
-    found = archives.archive_members(files.read_contents(spark, root, glob), **options)
+def _members(spark: SparkSession, where, glob: str, **options) -> DataFrame:
+    """Members of all archives, unpacked once and kept for the run."""
+    found = archives.archive_members(files.read_contents(spark, where, glob), **options)
     return materialize(found, "members")
 
 
-def discover(spark: SparkSession, dataset_id: str, root: str) -> Discovery:
-    """Sources of a dataset's raw folder."""
+def discover(spark: SparkSession, dataset_id: str, root: str, only: list[str] | None = None) -> Discovery:
+    """Sources of a dataset's raw folder, or of ``only`` some archives or event logs in it."""
     root = root.rstrip("/")
+    where = only or root
     if dataset_id == "otrf":
-        return archive_logs(_members(spark, root, "*.zip", opened_if=archives.HAS_DATA_FILE), root)
+        return archive_logs(_members(spark, where, "*.zip", opened_if=archives.HAS_DATA_FILE), root)
     if dataset_id == "evtx_attack_samples":
-        found = files.relative_names(files.checksums(spark, root, "*.evtx"), root)
-        return windows_events(found, evtx.decode_events(files.read_contents(spark, root, "*.evtx")))
+        found = files.relative_names(files.checksums(spark, where, "*.evtx"), root)
+        return windows_events(found, evtx.decode_events(files.read_contents(spark, where, "*.evtx")))
     if dataset_id == "flaws_cloud":
-        return cloud_trail(_members(spark, root, "*.tar", wanted=r".*\.gz", gunzip=True), root)
+        return cloud_trail(_members(spark, where, "*.tar", wanted=r".*\.gz", gunzip=True), root)
     if dataset_id == "ait_lds":
-        return host_logs(_members(spark, root, "*.zip", wanted=HOST_LOG_MEMBER), root)
+        return host_logs(_members(spark, where, "*.zip", wanted=HOST_LOG_MEMBER), root)
     if dataset_id == "elastic_fixtures":
         # Hidden folders are only listed when the pattern names them.
         pattern = f"{root}/packages/*/data_stream/*/_dev/test/pipeline/test-*.{{log,json}}"

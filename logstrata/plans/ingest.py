@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from logstrata.operators import catalog, classify, corpus, shards
 from logstrata.operators.framing import line_offsets
+from logstrata.operators.ordering import ordered_prefix
 from logstrata.plans.datasets import Discovery, discover
 from logstrata.plans.payloads import parse_sources
 from logstrata.session import configure, materialize
-from logstrata.sources.files import read_lines
 
 INDEX_SCHEMA = "idx bigint, shard_id int, offset bigint, source_id int, record_ref bigint"
 DICTIONARY_SCHEMA = "id int, source_id string"
@@ -72,29 +72,34 @@ class Corpus:
     def dictionary(self) -> DataFrame:
         return self._published("source_ids", DICTIONARY_SCHEMA).select("id", "source_id")
 
-    def shard_lines(self) -> DataFrame:
+    def shard_lines(self, only: DataFrame | None = None) -> DataFrame:
         """``(shard_id, offset, line)``: the shard files with the positions the index uses.
 
-        A resumed shard has one file per run; its part starts at the first offset
-        the index has for that run.
+        ``only`` limits the read to the folders of some ``(shard_id)``. A resumed
+        shard has one file per run; its part starts at the first offset the index
+        has for that run.
         """
-        path = f"{self.root}/shards"
+        path, index = f"{self.root}/shards", self.index()
         if not _exists(self.spark, path):
             return self.spark.createDataFrame([], "shard_id int, offset bigint, line string")
-        parts = self.index().groupBy("run", "shard_id").agg(F.min("offset").alias("_from"))
-        lines = line_offsets(read_lines(self.spark, path))
-        return (
-            lines.withColumn("run", F.regexp_extract("path", r"/run=([^/]+)/", 1))
-            .withColumn("shard_id", F.regexp_extract("path", r"/shard_id=(\d+)/", 1).cast("int"))
-            .join(parts, ["run", "shard_id"])
-            .select("shard_id", (F.col("byte_offset") + F.col("_from")).alias("offset"), "line")
-        )
+        parts = index.groupBy("run", "shard_id").agg(F.min("offset").alias("_from"))
+        parts = parts if only is None else parts.join(only.select("shard_id").distinct(), "shard_id", "left_semi")
+        text = self.spark.read.option("lineSep", "\n").option("basePath", path).text(path)
+        # Run and shard are folder names, so this join decides which folders are read.
+        rows = text.select(
+            "run", "shard_id", F.col("value").alias("line"),
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("seq"),
+        ).join(parts, ["run", "shard_id"])
+        return line_offsets(rows).select("shard_id", (F.col("byte_offset") + F.col("_from")).alias("offset"), "line")
 
     def count(self) -> int:
         return corpus.corpus_count(self.index()).first()["records"]
 
     def fetch(self, wanted: DataFrame) -> DataFrame:
-        return corpus.fetch_by_index(wanted, self.index(), self.shard_lines())
+        index = self.index()
+        shards_read = corpus.located(wanted, index).select("shard_id").where("shard_id is not null")
+        return corpus.fetch_by_index(wanted, index, self.shard_lines(shards_read))
 
     def indices_for_source(self, wanted: DataFrame) -> DataFrame:
         return corpus.indices_for_source(wanted, self.index(), self.dictionary())
@@ -109,7 +114,7 @@ class Corpus:
         if total["last"] is None:
             return 0, None, 0, 0
         held = index.where(F.col("shard_id") == total["last"]).count()
-        lines = self.shard_lines().where(F.col("shard_id") == total["last"])
+        lines = self.shard_lines(index.where(F.col("shard_id") == total["last"]))
         size = lines.agg(F.max(F.col("offset") + F.octet_length("line") + 1).alias("n")).first()["n"]
         return total["n"], total["last"], held, size
 
@@ -128,11 +133,17 @@ def parse_new(
     marked = materialize(catalog.mark_new(catalog.assign_source_id(found.sources, manifest), manifest), "sources")
     parsed = parse_sources(found.payload, marked.where("is_new"), found.kinds, mode)
     kept = F.coalesce(classify.passes_quality(skip_non_dict, minimum_fields) & F.col("problem").isNull(), F.lit(False))
-    columns = ["source_id", "source_ord", "block", "position", "record_ref", "kept", "problem"]
+    columns = ["path", "block", "position", "record_ref", "kept", "problem"]
     text = F.when(F.col("kept"), F.col("record_json")).alias("record_json")
     return marked, materialize(parsed.withColumn("kept", kept).select(*columns, text), "records")
 
 
+def numbered_sources(marked: DataFrame) -> DataFrame:
+    """``(path, source_id, source_ord)`` of the new sources, their order as a plain number."""
+    new = marked.where("is_new").select("path", "source_id", "ord")
+    return ordered_prefix(new, ["ord"], F.lit(1), "source_ord").drop("ord")
+
+
 def ingest_discovered(
     spark: SparkSession,
     dataset_id: str,
@@ -152,9 +163,10 @@ def ingest_discovered(
 
     marked, parsed = parse_new(found, manifest, skip_non_dict, minimum_fields, mode)
     records = parsed.where("kept").drop("kept", "problem")
+    sources = materialize(numbered_sources(marked), "numbered")
 
     first, last_shard, in_last, last_bytes = held.state()
-    indexed = shards.shard_assign(shards.global_index(records, first), shard_size, first, last_shard, in_last)
+    indexed = shards.shard_assign(shards.global_index(records, sources, first), shard_size, first, last_shard, in_last)
     lines = shards.shard_lines(indexed).drop("record_json")
     placed = materialize(shards.shard_offsets(lines, last_shard, last_bytes), "placed")
     dictionary = held.dictionary()
@@ -163,14 +175,16 @@ def ingest_discovered(
     shards.write_shards(placed, f"{held.root}/shards/run={run}")
     shards.shard_index(placed, names).write.parquet(f"{held.root}/index/run={run}")
     names.join(dictionary.select("id"), "id", "left_anti").write.parquet(f"{held.root}/source_ids/run={run}")
-    problems = parsed.where("problem is not null").select("source_id", "record_ref", "problem")
-    problems.write.parquet(f"{held.root}/problems/run={run}")
+    problems = parsed.where("problem is not null").join(sources, "path")
+    problems.select("source_id", "record_ref", "problem").write.parquet(f"{held.root}/problems/run={run}")
     entries = catalog.manifest_build(marked.where("is_new"), placed)
     entries.write.parquet(f"{held.out_root}/manifest/run={run}")
     return catalog.ingest_summary(marked, parsed.where("problem is null"), placed)
 
 
-def ingest_dataset(spark: SparkSession, dataset_id: str, raw_root: str, out_root: str, **options) -> DataFrame:
+def ingest_dataset(
+    spark: SparkSession, dataset_id: str, raw_root: str, out_root: str, only: list[str] | None = None, **options
+) -> DataFrame:
     """Discover a raw folder and ingest what is new in it."""
     configure(spark)
-    return ingest_discovered(spark, dataset_id, discover(spark, dataset_id, raw_root), out_root, **options)
+    return ingest_discovered(spark, dataset_id, discover(spark, dataset_id, raw_root, only), out_root, **options)

@@ -17,7 +17,7 @@ from logstrata.sources import files
 
 # Up to this many paths are handed to the reader by name, so nothing else is
 # scanned; beyond it the root is scanned and joined.
-NAMED_PATHS = 10_000
+NAMED_PATHS = 100_000
 
 
 class FilePayload:
@@ -91,13 +91,11 @@ _PARSERS = {
 
 
 def parse_sources(payload, sources: DataFrame, kinds: tuple[str, ...], mode: str = "failfast") -> DataFrame:
-    """Records of all ``sources`` ``(path, format, source_id, ord)``, whatever their formats."""
+    """Records of all ``sources`` ``(path, format)``, whatever their formats."""
 
     def one(kind: str) -> DataFrame:
         frames, parser = _PARSERS[kind]
         wanted = sources.where(F.col("format") == kind)
-        return formats.checked(parser(getattr(payload, frames)(wanted)), mode)
+        return formats.checked(parser(getattr(payload, frames)(wanted)), mode).select(*formats.RECORD_COLUMNS)
 
-    parsed = reduce(DataFrame.unionByName, [one(k) for k in kinds])
-    named = sources.select("path", "source_id", F.col("ord").alias("source_ord"))
-    return parsed.join(named, "path")
+    return reduce(DataFrame.unionByName, [one(k) for k in kinds])

@@ -432,8 +432,12 @@ def log_records(spark, sf_dir, corpus_name=None):
             one = parser(lines_of(spark, sf_dir, name))
             parsed = one if parsed is None else parsed.unionByName(one)
     kept = classify.quality_filter(parsed.where("problem is null"), minimum_fields=MINIMUM_FIELDS)
-    kept = kept.select("path", "block", "position", "record_ref", "record_json")
-    return kept.withColumn("source_id", F.concat(F.lit("logs/"), "path")).withColumn("source_ord", catalog.path_order(F.col("path")))
+    return kept.select("path", "block", "position", "record_ref", "record_json")
+
+
+def numbered(spark, sf_dir, corpus_name=None, first=0):
+    records = materialize(log_records(spark, sf_dir, corpus_name), "records")
+    return shards.global_index(records, log_sources(spark, sf_dir), first)
 
 
 @query
@@ -442,7 +446,8 @@ def manifest_build(spark, sf_dir):
     sized = lines_of(spark, sf_dir, "audit_lines").unionByName(lines_of(spark, sf_dir, "json_lines"))
     sizes = sized.groupBy(F.col("path").alias("file_name")).agg(F.sum(F.octet_length("line") + 1).alias("bytes"))
     described = sources.join(sizes, "file_name").withColumn("checksum_sha256", F.sha2("file_name", 256))
-    return catalog.manifest_build(described, log_records(spark, sf_dir)).drop("ingested_at")
+    records = log_records(spark, sf_dir).select(F.concat(F.lit("logs/"), "path").alias("source_id"))
+    return catalog.manifest_build(described, records).drop("ingested_at")
 
 
 def manifest_versions(spark, sf_dir):
@@ -488,7 +493,7 @@ def source_order(spark, sf_dir):
 
 
 def indexed_records(spark, sf_dir):
-    return shards.global_index(materialize(log_records(spark, sf_dir), "records"))
+    return numbered(spark, sf_dir)
 
 
 def sharded_records(spark, sf_dir):
@@ -510,12 +515,12 @@ def global_index(spark, sf_dir):
 def shard_assign(spark, sf_dir):
     """Two runs: the audit records first, then the JSON records continue the last shard."""
     size = SHARD_SIZE
-    first = shards.shard_assign(shards.global_index(materialize(log_records(spark, sf_dir, "audit_lines"), "audit")), size)
+    first = shards.shard_assign(numbered(spark, sf_dir, "audit_lines"), size)
     state = first.agg(F.count(F.lit(1)).alias("n"), F.max("shard_id").alias("last"))
     total, last = state.select("n").scalar(), state.select("last").scalar()
     # Every shard but the last one is full.
     held = state.select(F.col("n") - F.col("last") * size).scalar()
-    later = shards.global_index(materialize(log_records(spark, sf_dir, "json_lines"), "json"), total)
+    later = numbered(spark, sf_dir, "json_lines", total)
     second = (
         later.withColumn("_first", total)
         .withColumn("_last", last)
@@ -534,7 +539,7 @@ def shard_offsets(spark, sf_dir):
 @query
 def source_dictionary(spark, sf_dir):
     """Ids of a second run continue those of the first, which saw the JSON records only."""
-    earlier = shards.source_dictionary(shards.global_index(materialize(log_records(spark, sf_dir, "json_lines"), "json")))
+    earlier = shards.source_dictionary(numbered(spark, sf_dir, "json_lines"))
     return shards.source_dictionary(indexed_records(spark, sf_dir), earlier)
 
 
@@ -604,7 +609,9 @@ def resolve_records(spark, sf_dir):
 def ingested(spark, found) -> DataFrame:
     """Manifest of one run over discovered sources."""
     marked, parsed = parse_new(found, catalog.empty_manifest(spark))
-    return catalog.manifest_build(marked.where("is_new"), parsed.where("kept")).drop("ingested_at")
+    new = marked.where("is_new")
+    counted = parsed.where("kept").groupBy("path").agg(F.count(F.lit(1)).alias("record_count"))
+    return catalog.manifest_rows(new.join(counted, "path", "left")).drop("ingested_at")
 
 
 def archive_discovery(spark, sf_dir):

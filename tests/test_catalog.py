@@ -78,14 +78,18 @@ def test_manifest_lists_files_without_records(spark):
     assert list(rows["d/a"].asDict()) == catalog.MANIFEST_COLUMNS
 
 
-def numbered(spark, n, start=0):
-    rows = [(f"s{i // 7:03d}", [f"s{i // 7:03d}"], (i % 7) // 3, i % 7, f'{{"n":{i}}}') for i in range(start, n)]
-    return spark.createDataFrame(rows, "source_id string, source_ord array<string>, block bigint, position bigint, record_json string")
+def indexed(spark, n):
+    """Records of files of seven records in blocks of three, numbered."""
+    rows = [(f"s{i // 7:03d}", (i % 7) // 3, i % 7, f'{{"n":{i}}}') for i in range(n)]
+    records = spark.createDataFrame(rows, "path string, block bigint, position bigint, record_json string").repartition(5)
+    sources = records.select("path", F.concat(F.lit("d/"), "path").alias("source_id"), F.array("path").alias("source_ord"))
+    return shards.global_index(records, sources.distinct())
 
 
 def test_global_index_is_dense_and_ordered(spark):
-    got = shards.global_index(numbered(spark, 1000).repartition(5)).collect()
+    got = indexed(spark, 1000).collect()
     assert {r["record_json"]: r["idx"] for r in got} == {f'{{"n":{i}}}': i for i in range(1000)}
+    assert {(r["path"], r["source_id"]) for r in got} == {(f"s{i:03d}", f"d/s{i:03d}") for i in range(143)}
 
 
 def test_shards_roll_over_and_resume(spark):
@@ -99,8 +103,8 @@ def test_shards_roll_over_and_resume(spark):
 
 
 def test_shard_offsets_are_those_of_the_written_lines(spark):
-    indexed = shards.shard_lines(shards.shard_assign(shards.global_index(numbered(spark, 25)), 10))
-    rows = shards.shard_offsets(indexed, 0, 100).orderBy("idx").collect()
+    lines = shards.shard_lines(shards.shard_assign(indexed(spark, 25), 10))
+    rows = shards.shard_offsets(lines, 0, 100).orderBy("idx").collect()
     expected, at, shard = [], 100, 0
     for i in range(25):
         if i // 10 != shard:
@@ -111,10 +115,10 @@ def test_shard_offsets_are_those_of_the_written_lines(spark):
 
 
 def test_dictionary_continues_existing_ids(spark):
-    indexed = spark.createDataFrame([("z", 0), ("z", 1), ("b", 2), ("m", 3), ("b", 4)], "source_id string, idx bigint")
+    numbered = spark.createDataFrame([("z", 0), ("z", 1), ("b", 2), ("m", 3), ("b", 4)], "source_id string, idx bigint")
     existing = spark.createDataFrame([(0, "m"), (1, "q")], "id int, source_id string")
-    assert {tuple(r) for r in shards.source_dictionary(indexed).collect()} == {(0, "z"), (1, "b"), (2, "m")}
-    assert {tuple(r) for r in shards.source_dictionary(indexed, existing).collect()} == {(0, "m"), (1, "q"), (2, "z"), (3, "b")}
+    assert {tuple(r) for r in shards.source_dictionary(numbered).collect()} == {(0, "z"), (1, "b"), (2, "m")}
+    assert {tuple(r) for r in shards.source_dictionary(numbered, existing).collect()} == {(0, "m"), (1, "q"), (2, "z"), (3, "b")}
 
 
 def test_one_hot_source_spreads_over_many_tasks(spark):

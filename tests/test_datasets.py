@@ -271,3 +271,19 @@ def test_member_names_without_unpacking(spark, tmp_path):
 def test_unknown_dataset(spark):
     with pytest.raises(LookupError, match="unknown dataset"):
         datasets.discover(spark, "nope", "/tmp")
+
+
+def test_stream_ingests_arriving_files_once(spark, tmp_path):
+    from logstrata.streaming.ingest import stream_ingest
+
+    raw, out, state = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        stream_ingest(spark, "ait_lds", str(raw), out, state).awaitTermination()
+        return Corpus(spark, out, "ait_lds").count()
+
+    make_zip(raw / "a.zip", {"gather/h/logs/audit/audit.log": AUDIT})
+    assert run() == 1
+    assert run() == 1
+    make_zip(raw / "b.zip", {"gather/h/logs/audit/audit.log": AUDIT * 2})
+    assert run() == 3
