@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,3 +19,8 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     kept = [c for c in df.columns if c not in columns]
     return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

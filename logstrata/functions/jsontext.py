@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logstrata.functions.barrier import bound
+
 # Possessive quantifiers keep the matcher iterative, so very long strings are safe.
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _MARK = "\x01"
@@ -87,7 +89,7 @@ def record_to_json(text: Column) -> Column:
     spaced = F.regexp_replace(text, rf"(?s)({_STRING})|([,:])|[ \t\r\n]++", "$1$2" + _MARK)
     for found, written in (('"' + _MARK, '"'), ("," + _MARK, ", "), (":" + _MARK, ": "), (_MARK, "")):
         spaced = F.replace(spaced, F.lit(found), F.lit(written))
-    return F.when(F.octet_length(text) == F.length(text), spaced).otherwise(_escaped(spaced))
+    return F.when(F.octet_length(text) == F.length(text), spaced).otherwise(bound(spaced, _escaped))
 
 
 def quote(text: Column) -> Column:
@@ -121,25 +123,36 @@ def elements(document: Column, key: str) -> Column:
 WRAPPER_KEYS = ("@timestamp", "ecs")
 
 
+def _rebuilt(raw: Column, typed: Column) -> Column:
+    """JSON text of the pairs of a map of variants, nested values as they were written."""
+    pairs = F.transform(
+        F.map_keys(typed),
+        lambda k: F.concat(quote(k), F.lit(":"), element_text(F.element_at(raw, k), F.to_json(F.element_at(typed, k)))),
+    )
+    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+
+
+def normalize_object(event: Column) -> Column:
+    """``normalize_event`` of a text known to be a JSON object."""
+    dropped = list(WRAPPER_KEYS)
+    read = F.struct(
+        F.from_json(event, "map<string,string>").alias("raw"),
+        F.map_filter(F.from_json(event, "map<string,variant>"), lambda k, _: ~k.isin(dropped)).alias("typed"),
+    )
+
+    def kept(x: Column) -> Column:
+        # A string value reads as its decoded text, an object as its JSON text.
+        only = F.element_at(x["raw"], F.get(F.map_keys(x["typed"]), F.lit(0)))
+        unwrapped = bound(only, lambda t: F.when(is_object(t), F.when(is_json(t), t)))
+        return F.when(F.size(x["typed"]) == 1, unwrapped).when(F.size(x["typed"]) > 1, _rebuilt(x["raw"], x["typed"]))
+
+    return bound(read, kept)
+
+
 def normalize_event(event: Column) -> Column:
     """Record text of one wrapped event, or null when nothing usable is left.
 
     Wrapper keys go; several remaining keys are kept as they are; a single one
     is unwrapped, decoding a JSON string, and must be an object.
     """
-    dropped = list(WRAPPER_KEYS)
-    raw = F.from_json(event, "map<string,string>")
-    typed = F.map_filter(F.from_json(event, "map<string,variant>"), lambda k, _: ~k.isin(dropped))
-    pairs = F.transform(
-        F.map_keys(typed),
-        lambda k: F.concat(quote(k), F.lit(":"), element_text(F.element_at(raw, k), F.to_json(F.element_at(typed, k)))),
-    )
-    rebuilt = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
-    only = F.get(F.map_keys(typed), F.lit(0))
-    # A string value reads as its decoded text, an object as its JSON text.
-    inner = F.element_at(raw, only)
-    unwrapped = F.when(is_json(inner) & is_object(inner), inner)
-    return F.when(
-        is_json(event) & is_object(event),
-        F.when(F.size(typed) == 1, unwrapped).when(F.size(typed) > 1, rebuilt),
-    )
+    return F.when(is_object(event), F.when(is_json(event), normalize_object(event)))

@@ -67,12 +67,10 @@ def probe(lines: DataFrame) -> DataFrame:
 
 def is_json_lines(lines: DataFrame) -> DataFrame:
     """Per path: at least one line that is not blank, and every one of them a JSON value."""
-    valid = F.when(pytext.has_text(F.col("part")), jsontext.is_json(pytext.strip(F.col("part"))))
-    return (
-        lines.select("path", F.explode_outer(F.split("line", "\r")).alias("part"))
-        .groupBy("path")
-        .agg(F.coalesce(F.bool_and(valid), F.lit(False)).alias("json_lines"))
-    )
+    parts = lines.select("path", F.explode_outer(F.split("line", "\r")).alias("part"))
+    texts = once(parts, text=pytext.strip(F.col("part")))
+    valid = F.when(F.length("text") > 0, jsontext.is_json(F.col("text")))
+    return texts.groupBy("path").agg(F.coalesce(F.bool_and(valid), F.lit(False)).alias("json_lines"))
 
 
 def _opening(lines: DataFrame, value: Column, name: str) -> DataFrame:
@@ -188,7 +186,8 @@ def fixture_kind(path: Column) -> Column:
 def has_normalizable_event(documents: DataFrame) -> DataFrame:
     """Per document ``(path, content)``: a JSON object with a list of events, one of them usable."""
     listed = once(documents, elements=jsontext.elements(F.col("content"), "events"))
-    usable = F.exists("elements", lambda e: jsontext.normalize_event(e["text"]).isNotNull())
+    objects = F.filter("elements", lambda e: F.startswith(e["typed"], F.lit("{")))
+    usable = F.exists(objects, lambda e: jsontext.normalize_object(e["text"]).isNotNull())
     whole = jsontext.is_object(F.col("content"))
     return listed.select("path", F.coalesce(whole & usable, F.lit(False)).alias("usable"))
 

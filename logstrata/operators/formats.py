@@ -70,8 +70,7 @@ def auditd_fields(lines: DataFrame) -> DataFrame:
     parts = F.col("parts")
     prefix = F.map_from_arrays(F.array(F.lit("type"), F.lit("epoch"), F.lit("audit_id")), F.slice(parts, 1, 3))
     split = once(_text_lines(lines), parts=kv.audit_parts(F.col("text")))
-    tokens = split.withColumn("tokens", kv.kv_tokens(parts[3]))
-    return once(tokens, fields=F.map_concat(prefix, kv.kv_map(F.col("tokens")))).withColumn(
+    return once(split, fields=F.map_concat(prefix, kv.kv_map(parts[3]))).withColumn(
         "problem", F.when(F.col("fields").isNull(), F.lit("no audit prefix"))
     )
 
@@ -224,11 +223,9 @@ def json_array(documents: DataFrame) -> DataFrame:
 def events_wrapper(documents: DataFrame) -> DataFrame:
     """``{"events": […]}`` documents: the ref counts the events that survive normalisation."""
     listed = once(documents, elements=jsontext.elements(F.col("content"), "events"))
-    normalized = F.transform("elements", lambda e: jsontext.normalize_event(e["text"]))
-    kept = F.transform(
-        F.filter(normalized, lambda t: t.isNotNull()),
-        lambda t: F.struct(t.alias("text"), F.to_json(F.try_parse_json(t)).alias("typed")),
-    )
+    objects = F.filter("elements", lambda e: F.startswith(e["typed"], F.lit("{")))
+    normalized = F.filter(F.transform(objects, lambda e: jsontext.normalize_object(e["text"])), lambda t: t.isNotNull())
+    kept = F.transform(normalized, lambda t: F.struct(t.alias("text"), F.to_json(F.try_parse_json(t)).alias("typed")))
     return _exploded(once(listed, elements=kept), "no events list")
 
 

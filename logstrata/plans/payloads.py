@@ -31,7 +31,7 @@ class FilePayload:
         if not paths:
             return reader(self.spark, self.root, self.glob).where(F.lit(False))
         if len(paths) <= NAMED_PATHS:
-            return reader(self.spark, [_literal(p) for p in paths])
+            return reader(self.spark, [literal(p) for p in paths])
         rows = reader(self.spark, self.root, self.glob)
         return rows.join(wanted.select("path"), "path", "left_semi")
 
@@ -45,7 +45,7 @@ class FilePayload:
         return self._read(files.read_texts, wanted)
 
 
-def _literal(path: str) -> str:
+def literal(path: str) -> str:
     """Escape what a path reader would take for a wildcard."""
     return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
 

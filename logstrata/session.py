@@ -7,10 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A later duplicate key wins, in key/value logs and in JSON objects alike.
 REQUIRED_CONF = {
+    # A later duplicate key wins, in key/value logs and in JSON objects alike.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Parsing is bound by CPU, not by bytes: keep small shuffles spread over the cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logstrata.plans.ingest import ingest_dataset
-from logstrata.plans.payloads import NAMED_PATHS
+from logstrata.plans.payloads import NAMED_PATHS, literal
 
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -32,7 +32,8 @@ def stream_ingest(
     def ingest(batch: DataFrame, _: int) -> None:
         paths = [r["path"] for r in batch.select(F.col("path")).take(NAMED_PATHS + 1)]
         if paths:
-            ingest_dataset(spark, dataset_id, raw_root, out_root, paths if len(paths) <= NAMED_PATHS else None, **options)
+            only = [literal(p) for p in paths] if len(paths) <= NAMED_PATHS else None
+            ingest_dataset(spark, dataset_id, raw_root, out_root, only, **options)
 
     return (
         arriving.writeStream.foreachBatch(ingest)
