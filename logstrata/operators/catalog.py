@@ -31,21 +31,41 @@ def path_order(path: Column) -> Column:
     return F.split(path, "/")
 
 
+# Fixed format: how a disambiguated id ends.
+_DISAMBIGUATED = r"#[0-9a-f]{8}\z"
+
+
 def assign_source_id(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Add ``source_id``: the plain name, or name#checksum when another file holds that name.
 
-    The holder is the catalogued file, else the first one of this run.
+    The holder is the catalogued file, else the first one of this run. ``files``
+    is read several times, so it should be a written table.
     """
     named = files.withColumn("_candidate", F.concat("dataset_id", F.lit("/"), "file_name"))
-    first = named.groupBy("_candidate").agg(F.min_by("checksum_sha256", "ord").alias("_first"))
+    first = named.groupBy("_candidate").agg(
+        F.min_by("checksum_sha256", "ord").alias("_first"), F.min("ord").alias("_first_ord")
+    )
     known = manifest.select(F.col("source_id").alias("_candidate"), F.col("checksum_sha256").alias("_known"))
-    holders = first.join(known, "_candidate", "left").select("_candidate", F.coalesce("_known", "_first").alias("_holder"))
+    holders = first.join(known, "_candidate", "left").withColumn("_holder", F.coalesce("_known", "_first"))
+
+    # A file's own name may look like the id another one was given in this run; the earlier of the two holds it.
+    lookalikes = first.where(F.col("_candidate").rlike(_DISAMBIGUATED)).select(F.col("_candidate").alias("source_id"))
+    given = _identified(named, holders).where("collided").join(lookalikes, "source_id", "left_semi")
+    claims = given.groupBy(F.col("source_id").alias("_candidate")).agg(
+        F.min_by("checksum_sha256", "ord").alias("_claim"), F.min("ord").alias("_claim_ord")
+    )
+    earlier = F.when(F.col("_claim_ord") < F.col("_first_ord"), F.col("_claim"))
+    settled = holders.join(claims, "_candidate", "left").withColumn("_holder", F.coalesce("_known", earlier, "_first"))
+    return _identified(named, settled).drop("_candidate")
+
+
+def _identified(named: DataFrame, holders: DataFrame) -> DataFrame:
     suffixed = F.concat("_candidate", F.lit("#"), F.substring("checksum_sha256", 1, SUFFIX_LENGTH))
     return (
-        named.join(holders, "_candidate")
+        named.join(holders.select("_candidate", "_holder"), "_candidate")
         .withColumn("collided", F.col("_holder") != F.col("checksum_sha256"))
         .withColumn("source_id", F.when(F.col("collided"), suffixed).otherwise(F.col("_candidate")))
-        .drop("_candidate", "_holder")
+        .drop("_holder")
     )
 
 

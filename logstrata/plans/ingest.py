@@ -128,9 +128,11 @@ def parse_new(
 ) -> tuple[DataFrame, DataFrame]:
     """Sources with ``is_new``, and the parsed records of the new ones with ``kept``.
 
-    Both are written once: ids, numbering, shards and counts all read these tables.
+    Everything is written once: digests and probes behind the sources read whole
+    files, and ids, numbering, shards and counts all read these tables.
     """
-    marked = materialize(catalog.mark_new(catalog.assign_source_id(found.sources, manifest), manifest), "sources")
+    sources = materialize(found.sources, "discovered")
+    marked = materialize(catalog.mark_new(catalog.assign_source_id(sources, manifest), manifest), "sources")
     parsed = parse_sources(found.payload, marked.where("is_new"), found.kinds, mode)
     kept = F.coalesce(classify.passes_quality(skip_non_dict, minimum_fields) & F.col("problem").isNull(), F.lit(False))
     columns = ["path", "block", "position", "record_ref", "kept", "problem"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -381,15 +382,16 @@ def shard_name(spark, sf_dir):
 
 def doc_files(spark, sf_dir):
     texts = corpora.corpus(spark, sf_dir, "doc_files")
-    return texts.select(
+    described = texts.select(
         "dataset_id", "file_name", "ord", F.octet_length("content").cast("bigint").alias("bytes"),
         files.file_checksum(F.col("content")).alias("checksum_sha256"),
     )
+    return materialize(described, "docs")
 
 
-def earlier_manifest(spark, sf_dir):
+def earlier_manifest(spark, docs):
     """Manifest of an earlier run that saw only part of the files."""
-    seen = doc_files(spark, sf_dir).where("ord % 3 = 0")
+    seen = docs.where("ord % 3 = 0")
     none = catalog.empty_manifest(spark)
     new = catalog.incremental_new_files(catalog.assign_source_id(seen, none), none)
     return new.select("source_id", "checksum_sha256", "bytes")
@@ -397,7 +399,8 @@ def earlier_manifest(spark, sf_dir):
 
 @query
 def assign_source_id(spark, sf_dir):
-    identified = catalog.assign_source_id(doc_files(spark, sf_dir), earlier_manifest(spark, sf_dir))
+    docs = doc_files(spark, sf_dir)
+    identified = catalog.assign_source_id(docs, earlier_manifest(spark, docs))
     return identified.select("ord", "source_id", "checksum_sha256")
 
 
@@ -408,8 +411,9 @@ def collision_report(spark, sf_dir):
 
 @query
 def incremental_new_files(spark, sf_dir):
-    manifest = earlier_manifest(spark, sf_dir)
-    identified = catalog.assign_source_id(doc_files(spark, sf_dir), manifest)
+    docs = doc_files(spark, sf_dir)
+    manifest = earlier_manifest(spark, docs)
+    identified = catalog.assign_source_id(docs, manifest)
     return catalog.incremental_new_files(identified, manifest).select("ord", "source_id")
 
 
@@ -672,6 +676,7 @@ def ingest_dataset(spark, sf_dir):
     """A second run over host logs, of which the access logs were ingested before."""
     found = datasets.host_logs(unpacked(spark, sf_dir, "host_rows", wanted=datasets.HOST_LOG_MEMBER))
     none = catalog.empty_manifest(spark)
+    found = replace(found, sources=materialize(found.sources, "discovered"))
     identified = catalog.assign_source_id(found.sources, none)
     manifest = identified.where(F.col("format") == classify.ACCESS_LOG)
     marked, parsed = parse_new(found, manifest)

@@ -26,7 +26,10 @@ def test_ids_match_a_sequential_ingest(spark):
     checksums = [f"{rng.getrandbits(64):016x}" for _ in range(12)]
     # Same eight leading digits, different file: taken for the one already there.
     checksums.append(checksums[0][:8] + "f" * 8)
-    files = [(f"n{rng.randrange(15)}", rng.choice(checksums), i) for i in range(300)]
+    names = [f"n{i}" for i in range(15)]
+    # Names that look like the id some other file is given.
+    names += [f"n{i}#{c[:8]}" for i in (3, 4, 5) for c in checksums[:6]]
+    files = [(rng.choice(names), rng.choice(checksums), i) for i in range(400)]
     manifest = {"d/n1": checksums[3], "d/n2": checksums[0], f"d/n2#{checksums[4][:8]}": checksums[4], "d/gone": "x"}
     df = spark.createDataFrame([("d", *f) for f in files], FILES)
     known = spark.createDataFrame(list(manifest.items()), "source_id string, checksum_sha256 string")
