@@ -36,7 +36,9 @@ def _json_records(rows: DataFrame, text: str, problem: str) -> DataFrame:
     source = F.col(text)
     parsed = once(rows, _variant=jsontext.guarded(source))
     judged = once(
-        parsed, _ok=jsontext.is_guarded(F.col("_variant"), source), field_count=jsontext.variant_fields(F.col("_variant"))
+        parsed,
+        _ok=F.is_valid_utf8(source) & jsontext.is_guarded(F.col("_variant"), source),
+        field_count=jsontext.variant_fields(F.col("_variant")),
     )
     return (
         judged.withColumn("record_json", F.when(F.col("_ok"), F.trim(source, F.lit(" \t\r\n"))))
@@ -54,24 +56,32 @@ def json_lines(lines: DataFrame) -> DataFrame:
     return _json_records(framed.withColumn("record_ref", F.col("byte_offset")), "line", "not a JSON value")
 
 
-def _text_lines(lines: DataFrame) -> DataFrame:
-    """Lines without their ends; only empty ones are skipped."""
+def _decoded(raw: Column, encoding: str) -> Column:
+    return raw if encoding.upper() == "UTF-8" else F.decode(raw.cast("binary"), encoding)
+
+
+def _text_lines(lines: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+    """Lines without their ends; only empty ones are skipped. Offsets count the bytes on disk."""
     return (
         framing.line_offsets(lines)
-        .withColumn("text", pytext.chomp(F.col("line")))
+        .withColumn("text", pytext.chomp(_decoded(F.col("line"), encoding)))
         .where(F.octet_length("text") > 0)
         .withColumn("record_ref", F.col("byte_offset"))
         .withColumn("position", F.col("byte_offset"))
     )
 
 
+def _problem(text: Column, failed: Column, reason: str) -> Column:
+    return F.when(~F.is_valid_utf8(text), F.lit("not UTF-8")).when(failed, F.lit(reason))
+
+
 def auditd_fields(lines: DataFrame) -> DataFrame:
     """``type=… msg=audit(…): k=v …`` lines with their fields as a map."""
     parts = F.col("parts")
     prefix = F.map_from_arrays(F.array(F.lit("type"), F.lit("epoch"), F.lit("audit_id")), F.slice(parts, 1, 3))
     split = once(_text_lines(lines), parts=kv.audit_parts(F.col("text")))
     return once(split, fields=F.map_concat(prefix, kv.kv_map(parts[3]))).withColumn(
-        "problem", F.when(F.col("fields").isNull(), F.lit("no audit prefix"))
+        "problem", _problem(F.col("text"), F.col("fields").isNull(), "no audit prefix")
     )
 
 
@@ -139,18 +149,17 @@ def grok_regex(pattern: str) -> tuple[str, list[str]]:
     return rf"(?Us)\A(?:{body})\z", names
 
 
-def grok_fields(lines: DataFrame, pattern: str) -> DataFrame:
+def grok_fields(lines: DataFrame, pattern: str, encoding: str = "UTF-8") -> DataFrame:
     """One column per pattern field, null where an optional part is absent."""
     regex, names = grok_regex(pattern)
-    split = once(_text_lines(lines), parts=pytext.capture(F.col("text"), regex, len(names)))
+    split = once(_text_lines(lines, encoding), parts=pytext.capture(F.col("text"), regex, len(names)))
     values = [F.nullif(F.col("parts")[i], F.lit("")).alias(n) for i, n in enumerate(names)]
-    return split.withColumn("problem", F.when(F.col("parts").isNull(), F.lit("pattern does not match"))).withColumn(
-        "fields", F.struct(*values)
-    )
+    problem = _problem(F.col("text"), F.col("parts").isNull(), "pattern does not match")
+    return split.withColumn("problem", problem).withColumn("fields", F.struct(*values))
 
 
-def grok(lines: DataFrame, pattern: str = COMBINED_ACCESS) -> DataFrame:
-    fields = grok_fields(lines, pattern)
+def grok(lines: DataFrame, pattern: str = COMBINED_ACCESS, encoding: str = "UTF-8") -> DataFrame:
+    fields = grok_fields(lines, pattern, encoding)
     matched = F.col("problem").isNull()
     width = len(fields.schema["fields"].dataType)
     return (
@@ -176,9 +185,10 @@ def csv_fields(text: Column) -> Column:
     return F.transform(raw, plain)
 
 
-def csv(lines: DataFrame) -> DataFrame:
+def csv(lines: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     """Header row names the fields; a row with another width is a problem."""
-    rows = framing.csv_rows(lines).withColumn("values", csv_fields(pytext.chomp(F.col("text"))))
+    decoded = framing.csv_rows(lines).withColumn("text", _decoded(F.col("text"), encoding))
+    rows = once(decoded, values=csv_fields(pytext.chomp(F.col("text"))))
     header = rows.where("record_ref = 0").select("path", F.col("values").alias("names"))
     width = F.when(F.col("text").rlike(r"\A[\r\n]*\z"), 0).otherwise(F.size("values"))
     fields = F.when(width == F.size("names"), F.map_from_arrays("names", "values"))
@@ -189,7 +199,7 @@ def csv(lines: DataFrame) -> DataFrame:
         .withColumn("record_json", F.to_json("fields"))
         .withColumn("field_count", F.when(F.col("fields").isNotNull(), F.size("fields")))
         .withColumn("is_object", F.col("fields").isNotNull())
-        .withColumn("problem", F.when(F.col("fields").isNull(), F.lit("row width differs from the header")))
+        .withColumn("problem", _problem(F.col("text"), F.col("fields").isNull(), "row width differs from the header"))
         .withColumn("position", F.col("record_ref"))
         .select(*RECORD_COLUMNS)
     )

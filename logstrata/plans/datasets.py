@@ -188,8 +188,11 @@ def discover(spark: SparkSession, dataset_id: str, root: str, only: list[str] |
         return vendor_fixtures(found, FilePayload(spark, pattern))
     if dataset_id == "splunk_attack_data":
         samples = catalogs.catalog_samples(files.read_texts(spark, f"{root}/datasets", "*.yml"))
-        found = files.relative_names(files.checksums(spark, root), root)
-        listed = classify.resolve_samples(samples, found.select(F.col("file_name").alias("path")))
+        present = files.relative_names(files.list_files(spark, root), root)
+        listed = classify.resolve_samples(samples, present.select(F.col("file_name").alias("path")))
         names = listed.select(F.col("path").alias("file_name"))
-        return attack_catalog(samples, found.join(names, "file_name", "left_semi"), FilePayload(spark, root))
+        # Only listed files are read; the rest of the checkout is not even hashed.
+        wanted = present.join(names, "file_name", "left_semi")
+        found = files.relative_names(files.checksums(spark, root, wanted=wanted), root)
+        return attack_catalog(samples, found, FilePayload(spark, root))
     raise LookupError(f"unknown dataset {dataset_id!r}")

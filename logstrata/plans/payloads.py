@@ -15,10 +15,6 @@ from logstrata.operators import classify, formats
 from logstrata.operators.framing import with_block
 from logstrata.sources import files
 
-# Up to this many paths are handed to the reader by name, so nothing else is
-# scanned; beyond it the root is scanned and joined.
-NAMED_PATHS = 100_000
-
 
 class FilePayload:
     """Plain files below a folder."""
@@ -27,11 +23,11 @@ class FilePayload:
         self.spark, self.root, self.glob = spark, root, glob
 
     def _read(self, reader, wanted: DataFrame) -> DataFrame:
-        paths = [r["path"] for r in wanted.select("path").take(NAMED_PATHS + 1)]
-        if not paths:
+        paths = files.named_paths(wanted)
+        if paths == []:
             return reader(self.spark, self.root, self.glob).where(F.lit(False))
-        if len(paths) <= NAMED_PATHS:
-            return reader(self.spark, [literal(p) for p in paths])
+        if paths is not None:
+            return reader(self.spark, paths)
         rows = reader(self.spark, self.root, self.glob)
         return rows.join(wanted.select("path"), "path", "left_semi")
 
@@ -45,11 +41,6 @@ class FilePayload:
         return self._read(files.read_texts, wanted)
 
 
-def literal(path: str) -> str:
-    """Escape what a path reader would take for a wildcard."""
-    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
-
-
 class RowPayload:
     """Files held as ``(path, content)`` rows: archive members."""
 

@@ -15,6 +15,20 @@ from logstrata.operators.framing import EVENT_CLOSE
 
 # A row holds at most 2 GB; larger files are hashed as a stream.
 WHOLE_FILE_LIMIT = 1 << 30
+# Up to this many paths are handed to a reader by name, so nothing else is
+# scanned; beyond it the whole place is scanned and joined.
+NAMED_PATHS = 100_000
+
+
+def literal(path: str) -> str:
+    """Escape what a path reader would take for a wildcard."""
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
+
+
+def named_paths(wanted: DataFrame) -> list[str] | None:
+    """The paths of a ``(path)`` table for a reader, or None when there are too many to name."""
+    paths = [r["path"] for r in wanted.select("path").take(NAMED_PATHS + 1)]
+    return [literal(p) for p in dict.fromkeys(paths)] if len(paths) <= NAMED_PATHS else None
 
 
 def clean_path(path: Column) -> Column:
@@ -78,15 +92,27 @@ def file_checksum(content: Column) -> Column:
     return F.sha2(content.cast("binary"), 256)
 
 
-def checksums(spark: SparkSession, paths, glob: str | None = None, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """``(path, bytes, checksum_sha256)`` of every file."""
+def checksums(
+    spark: SparkSession, paths, glob: str | None = None, limit: int = WHOLE_FILE_LIMIT, wanted: DataFrame | None = None
+) -> DataFrame:
+    """``(path, bytes, checksum_sha256)`` of every file, or of the ``wanted`` ``(path)`` only."""
+    if wanted is not None:
+        listed = named_paths(wanted)
+        if listed == []:
+            return spark.createDataFrame([], "path string, bytes bigint, checksum_sha256 string")
+        if listed is None:
+            return checksums(spark, paths, glob, limit).join(wanted.select("path"), "path", "left_semi")
+        paths, glob = listed, None
     files = _reader(spark, glob).format("binaryFile").load(paths).withColumn("bytes", F.col("length"))
     small = files.where(F.col("bytes") <= limit).select(
         _path(), "bytes", file_checksum(F.col("content")).alias("checksum_sha256")
     )
     large = list_files(spark, paths, glob).where(F.col("bytes") > limit)
-    lines = read_lines(spark, paths, glob).where(F.col("file_size") > limit)
-    streamed = stream_checksums(lines).select("path", "checksum_sha256")
+    listed = named_paths(large)
+    if listed == []:
+        return small
+    lines = read_lines(spark, paths if listed is None else listed, glob if listed is None else None)
+    streamed = stream_checksums(lines.where(F.col("file_size") > limit)).select("path", "checksum_sha256")
     return small.unionByName(large.join(streamed, "path"))
 
 

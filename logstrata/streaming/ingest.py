@@ -8,11 +8,10 @@ nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logstrata.plans.ingest import ingest_dataset
-from logstrata.plans.payloads import NAMED_PATHS, literal
+from logstrata.sources.files import named_paths
 
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -30,10 +29,9 @@ def stream_ingest(
     )
 
     def ingest(batch: DataFrame, _: int) -> None:
-        paths = [r["path"] for r in batch.select(F.col("path")).take(NAMED_PATHS + 1)]
-        if paths:
-            only = [literal(p) for p in paths] if len(paths) <= NAMED_PATHS else None
-            ingest_dataset(spark, dataset_id, raw_root, out_root, only, **options)
+        paths = named_paths(batch)
+        if paths != []:
+            ingest_dataset(spark, dataset_id, raw_root, out_root, paths, **options)
 
     return (
         arriving.writeStream.foreachBatch(ingest)

@@ -235,3 +235,17 @@ def test_checksums_of_small_and_streamed_files(spark, small_splits, line_files):
     for limit in (files.WHOLE_FILE_LIMIT, 1000):
         got = files.checksums(spark, str(root), limit=limit).collect()
         assert {r["path"].rsplit("/", 1)[-1]: (r["bytes"], r["checksum_sha256"]) for r in got} == expected
+
+
+def test_invalid_utf8_is_reported_and_other_encodings_are_read(spark, tmp_path):
+    (tmp_path / "l.log").write_bytes(AUDIT.splitlines()[0].encode() + b" x=\xe9\n" + b'{"a": "\xe9"}\n')
+    lines = files.read_lines(spark, str(tmp_path))
+    assert [r["problem"] for r in formats.auditd(lines).orderBy("record_ref").collect()] == ["not UTF-8", "not UTF-8"]
+    assert formats.json_lines(lines).where("problem is null").count() == 0
+    rows = formats.grok_fields(lines, "%{GREEDYDATA:all}", "ISO-8859-1").orderBy("record_ref").collect()
+    assert rows[1]["fields"]["all"] == '{"a": "é"}' and rows[1]["record_ref"] == len(AUDIT.splitlines()[0]) + 5
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/l.csv").write_bytes("id,name\n1,é\n2,ü\n".encode("latin-1"))
+    parsed = formats.csv(files.read_lines(spark, str(tmp_path / "c")), "ISO-8859-1").orderBy("record_ref").collect()
+    assert [(r["record_ref"], json.loads(r["record_json"])["name"], r["problem"]) for r in parsed] == [(8, "é", None), (12, "ü", None)]
+    assert formats.csv(files.read_lines(spark, str(tmp_path / "c"))).where("problem = 'not UTF-8'").count() == 2
