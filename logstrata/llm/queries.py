@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata import configure
+from logstrata.llm import language_codes, toxicity_cnn
 from logstrata.llm.histogram_shards import histogram_shards
 from logstrata.llm.perplexity_rules import STATISTICS, quality_rules
 from logstrata.llm.suffix_tree import score_texts
@@ -46,3 +47,18 @@ def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(7).alias("held_out"))
     scored = score_texts(docs, ~F.col("held_out"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(4).alias("held_out"))
+    model = language_codes.fit(docs, ~F.col("held_out"))
+    return language_codes.identify(docs, model, carry=["doc_id", "held_out"])
+
+
+@query
+def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(4).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity_cnn.fit(docs.join(labels, "doc_id"), ~F.col("held_out"))
+    return toxicity_cnn.detect(docs, model, carry=["doc_id", "held_out"])
