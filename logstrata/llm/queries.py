@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata import configure
-from logstrata.llm import language_codes, toxicity_cnn
+from logstrata.llm import language_codes, license_scan, toxicity_cnn
 from logstrata.llm.histogram_shards import histogram_shards
 from logstrata.llm.perplexity_rules import STATISTICS, quality_rules
 from logstrata.llm.suffix_tree import score_texts
@@ -62,3 +62,11 @@ def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity_cnn.fit(docs.join(labels, "doc_id"), ~F.col("held_out"))
     return toxicity_cnn.detect(docs, model, carry=["doc_id", "held_out"])
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_license_scan"] = license_scan.oracle()

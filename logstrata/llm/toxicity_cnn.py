@@ -1,6 +1,7 @@
 """Toxicity: a convolutional text classifier over hashed word embeddings, trained in numpy.
 
-A word is a run of letters, lower-cased; its hash picks one of 2^20 embedding rows. Filters of one, two and three words run
+A word is a run of letters, lower-cased; hashes of the word and of its first five and seven bytes pick three of 2^20
+embedding rows, whose sum stands for it, so that inflected forms share what they have in common. Filters of one, two and three words run
 over the whole text, each keeps its maximum, and a logistic unit reads the maxima. Training takes at most ``SAMPLE``
 labelled texts, those first in a hash order; a fifth of them is set aside to calibrate the score, and a threshold for each
 language. Rows of words that the sample never showed are zero, so unknown words say nothing.
@@ -16,22 +17,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logstrata.llm.language_codes import FOLD
-from logstrata.llm.textblocks import PrefixHash, flat, slices, word_spans
+from logstrata.llm.textblocks import PrefixHash, flat, mix, slices, word_spans
 
 SAMPLE = 6000
 ROWS_BITS = 20
 DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-EPOCHS = 6
+STEMS = (5, 7)
+EPOCHS = 10
 THRESHOLD = 0.3
 
 
 def word_rows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Embedding rows of all words, and where each text's words begin (one more than texts)."""
+    """The embedding rows of every word, and where each text's words begin (one more than texts)."""
     folded = FOLD[data]
     starts, ends, text = word_spans(folded, bounds)
-    rows = (PrefixHash(folded).of(starts, ends) >> np.uint64(64 - ROWS_BITS)).astype(np.int64)
+    prefix = PrefixHash(folded)
+    parts = [prefix.of(starts, ends), *(mix(prefix.of(starts, np.minimum(ends, starts + n)) + np.uint64(n)) for n in STEMS)]
+    rows = np.stack([(p >> np.uint64(64 - ROWS_BITS)).astype(np.int32) for p in parts], axis=1)
     return rows, np.searchsorted(text, np.arange(len(bounds)))
 
 
@@ -40,7 +44,7 @@ class ToxicityCnn:
 
     def __init__(self, seed: int = 8):
         draw = np.random.Generator(np.random.PCG64(seed))
-        self.rows = np.zeros(0, np.int64)
+        self.rows = np.zeros(0, np.int32)
         self.table = np.zeros((1, DIM), np.float32)
         self.filters = [draw.normal(0, 0.5, (width, DIM, FILTERS)).astype(np.float32) for width in WIDTHS]
         self.bias = np.zeros(len(WIDTHS) * FILTERS, np.float32)
@@ -52,19 +56,19 @@ class ToxicityCnn:
     def _local(self, rows: np.ndarray) -> np.ndarray:
         """Positions in the table of known rows; 0, a row of zeros, for all others."""
         at = np.minimum(np.searchsorted(self.rows, rows), max(len(self.rows) - 1, 0))
-        return np.where(self.rows[at] == rows, at + 1, 0) if len(self.rows) else np.zeros(len(rows), np.int64)
+        return np.where(self.rows[at] == rows, at + 1, 0).astype(np.int32) if len(self.rows) else np.zeros(rows.shape, np.int32)
 
     @staticmethod
     def _spaced(local: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words with zero rows behind each text, so that no filter reaches into the next one."""
         gap, texts = max(WIDTHS), len(first) - 1
-        out = np.zeros(len(local) + gap * texts, np.int64)
+        out = np.zeros((len(local) + gap * texts, local.shape[1]), np.int32)
         out[np.arange(len(local)) + gap * np.repeat(np.arange(texts), np.diff(first))] = local
         return out, first + gap * np.arange(texts + 1)
 
     def _pooled(self, local: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The words and, for each width, the values of its filters at every word."""
-        words = self.table[local]
+        words = sum(self.table[local[:, i]] for i in range(local.shape[1]))
         for kernel in self.filters:
             n = len(words) - len(kernel) + 1
             values = sum(words[j : j + n] @ kernel[j] for j in range(len(kernel)))
@@ -119,9 +123,11 @@ class ToxicityCnn:
                     gradient = np.zeros_like(kernel)
                     for j in range(len(kernel)):
                         words = joined[top + j]
-                        gradient[j] = np.einsum("tfd,tf->df", self.table[words], back)
-                        at.append(words.ravel())
-                        changes.append((back[:, :, None] * kernel[j].T[None]).reshape(-1, DIM))
+                        gradient[j] = np.einsum("tfd,tf->df", self.table[words].sum(2), back)
+                        change = (back[:, :, None] * kernel[j].T[None]).reshape(-1, DIM)
+                        for part in range(words.shape[2]):
+                            at.append(words[:, :, part].ravel())
+                            changes.append(change)
                     self.filters[k] = step(k, kernel, gradient).astype(np.float32)
                 touched, where = np.unique(np.concatenate(at), return_inverse=True)
                 sums = np.zeros((len(touched), DIM), np.float32)
@@ -162,7 +168,7 @@ def fit(docs: DataFrame, learn: Column, toxic: str = "toxic", key: str = "doc_id
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             rows, first = word_rows(*flat(part.column("text")))
-            blobs = [rows[a:b].astype(np.uint32).tobytes() for a, b in zip(first[:-1], first[1:])]
+            blobs = [rows[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(
                 [part.column("place"), part.column("label"), part.column("lang"), pa.array(blobs, pa.binary())],
                 names=["place", "label", "lang", "words"],
@@ -172,7 +178,7 @@ def fit(docs: DataFrame, learn: Column, toxic: str = "toxic", key: str = "doc_id
     labelled = labelled.select(F.xxhash64(key).alias("place"), F.col(toxic).cast("int").alias("label"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     sample = labelled.orderBy("place", "text").limit(SAMPLE).mapInArrow(hashed, "place long, label int, lang string, words binary").toArrow()
     sample = sample.sort_by("place")
-    texts = [np.frombuffer(b, np.uint32).astype(np.int64) for b in sample.column("words").to_pylist()]
+    texts = [np.frombuffer(b, np.int32).reshape(-1, 1 + len(STEMS)) for b in sample.column("words").to_pylist()]
     labels, languages = sample.column("label").to_numpy().astype(np.int64), sample.column("lang").to_pylist()
     aside = np.arange(len(texts)) % 5 == 4
     model = ToxicityCnn()
