@@ -123,7 +123,7 @@ def oracle(threshold: int = THRESHOLD) -> str:
         "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
         "'[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
     )
-    pairs = "list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))"
+    pairs = "list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])"
     return f"""
 with t as (select name as license, {words.format('notice')} as w from (values {templates}) as v(name, notice)),
 tb as (select license, {pairs} as b from t),
@@ -133,8 +133,8 @@ units as (
 u as (select doc_id, is_line, {words.format('unit')} as w from units where unit is not null),
 ub as (select doc_id, is_line, {pairs} as b from u where len(w) > 1),
 m as (
-  select doc_id, license, is_line, 2 * len(list_intersect(ub.b, tb.b)) as twice, len(ub.b) + len(tb.b) as both
+  select doc_id, license, is_line, 2 * len(list_intersect(ub.b, tb.b)) as twice, len(ub.b) + len(tb.b) as total
   from ub join tb on len(ub.b) * {threshold} <= {200 - threshold} * len(tb.b) and len(tb.b) * {threshold} <= {200 - threshold} * len(ub.b))
-select doc_id, license, cast(sum(is_line) as bigint) as lines, max(twice / both) as dice
-from m where 100 * twice >= {threshold} * both group by doc_id, license
+select doc_id, license, cast(sum(is_line) as bigint) as lines, max(twice / total) as dice
+from m where 100 * twice >= {threshold} * total group by doc_id, license
 """

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from logstrata import configure
 from logstrata.llm import language_codes, license_scan, toxicity_cnn
 from logstrata.llm.histogram_shards import histogram_shards
+from logstrata.llm.minhash_dedup import near_duplicates
 from logstrata.llm.perplexity_rules import STATISTICS, quality_rules
 from logstrata.llm.suffix_tree import score_texts
 
@@ -70,3 +71,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_license_scan"] = license_scan.oracle()
+
+
+@query
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
