@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata import configure
-from logstrata.llm import language_codes, license_scan, toxicity_cnn
+from logstrata.llm import language_codes, license_scan, suffix_dedup, toxicity_cnn
 from logstrata.llm.histogram_shards import histogram_shards
 from logstrata.llm.minhash_dedup import near_duplicates
 from logstrata.llm.perplexity_rules import STATISTICS, quality_rules
@@ -76,3 +76,8 @@ ORACLES["op6_license_scan"] = license_scan.oracle()
 @query
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), content=False, carry=["doc_id"])

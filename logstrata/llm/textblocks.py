@@ -20,7 +20,7 @@ LOWER[65:91] += 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_LETTERS = np.random.Generator(np.random.PCG64(20)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_letters: dict[int, np.ndarray] = {}
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -86,10 +86,12 @@ def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
 class PrefixHash:
     """Prefix polynomial hashes modulo 2^64 over random letter values; the hash of any span in constant time."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, seed: int = 20):
+        if seed not in _letters:
+            _letters[seed] = np.random.Generator(np.random.PCG64(seed)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         powers, self.inverse = _powers_up_to(len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_LETTERS[data] * powers[: len(data)], out=self.sums[1:])
+        np.cumsum(_letters[seed][data] * powers[: len(data)], out=self.sums[1:])
 
     def raw(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Equal for equal spans, wherever they lie; not mixed."""
