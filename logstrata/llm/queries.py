@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata import configure
-from logstrata.llm import language_codes, license_scan, suffix_dedup, toxicity_cnn
+from logstrata.llm import bpe, language_codes, license_scan, suffix_dedup, toxicity_cnn
 from logstrata.llm.histogram_shards import histogram_shards
 from logstrata.llm.minhash_dedup import near_duplicates
 from logstrata.llm.perplexity_rules import STATISTICS, quality_rules
@@ -81,3 +82,9 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), content=False, carry=["doc_id"])
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, carry=["doc_id"], content=False)
