@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from logstrata import configure
 from logstrata.llm import bpe, language_codes, license_scan, suffix_dedup, toxicity_cnn
+from logstrata.llm.decontamination import contaminated
 from logstrata.llm.histogram_shards import histogram_shards
 from logstrata.llm.minhash_dedup import near_duplicates
 from logstrata.llm.perplexity_rules import STATISTICS, quality_rules
@@ -88,3 +89,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, carry=["doc_id"], content=False)
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
