@@ -8,8 +8,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import SMALL, entry, oracle_sql, queries
+from logstrata.workload.queries import QUERIES as OWN
 
-QUERIES, CHECKS = queries(), oracle_sql()
+QUERIES = {name: query for name, query in queries().items() if name in OWN}
+CHECKS = {name: sql for name, sql in oracle_sql().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")
