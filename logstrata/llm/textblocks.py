@@ -75,7 +75,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) <= n:
-        size = max(2 * len(_powers[0]), n + 1)
+        size = max(n + 1, 1 << 20)
         for i, base in enumerate((_BASE, _BASE_INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
