@@ -18,7 +18,7 @@ COPIES = 16
 def _looked_up(rows: DataFrame, column: str, table: DataFrame, key: str) -> DataFrame:
     """``rows`` left-joined with ``table`` where ``column`` equals its ``key``, a frequent value in many places."""
     spread = rows.withColumn("_copy", F.pmod(F.xxhash64("node"), F.lit(COPIES)))
-    copies = table.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).cast("long"))
+    copies = table.withColumn("_of", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(COPIES - 1).cast("long"))))
     return spread.join(copies, (F.col(column) == F.col(key)) & (F.col("_copy") == F.col("_of")), "left")
 
 
