@@ -164,7 +164,7 @@ def archive_select(members: DataFrame, probes: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("member"),
         F.lit(None).cast("string").alias("path"),
         F.lit(None).cast("string").alias("format"),
-        F.concat(F.lit("expected at most one .json file, found "), F.col("json_files").cast("string")).alias("problem"),
+        F.concat(F.lit("several .json members in one archive: "), F.col("json_files").cast("string")).alias("problem"),
     )
     return files.unionByName(several)
 

@@ -25,14 +25,14 @@ def _s(expression: str) -> str:
 
 AUDIT_LINE = (
     "case when event_id % 50 = 0 then '' else concat('type=', upper(event_type), ' msg=audit(', "
-    "case when event_id % 10 = 3 then '04/16/2025 08:19:50.366' else concat(cast(1642205341 + event_id as string), '.337') end, "
+    "case when event_id % 10 = 3 then '11/02/2024 21:40:07.125' else concat(cast(1700000000 + event_id as string), '.337') end, "
     "':', cast(event_id as string), case when event_id % 10 = 3 then ') : pid=' else '): pid=' end, cast(user_id as string), "
     "' old-auid=', cast(event_id % 7 as string), ' comm=\"', event_type, ' x\" msg=', chr(39), 'op=PAM acct=\"u', "
     "cast(user_id as string), '\" res=success', chr(39), case when event_id % 6 = 0 then ' pid=0' else '' end) end"
 )
 ACCESS_LINE = (
     "concat('10.0.', cast(user_id % 256 as string), '.', cast(event_id % 256 as string), ' - u', cast(user_id as string), "
-    "' [19/Jan/2022:07:46:29 +0000] \"', "
+    "' [03/Feb/2021:18:05:44 +0000] \"', "
     "case when event_id % 17 = 0 then '-' else concat('GET /', event_type, '?id=', cast(event_id as string), ' HTTP/1.1') end, '\" ', "
     "case when event_type = 'error' then '404 ' else '200 ' end, case when event_id % 5 = 0 then '-' else cast(event_id as string) end, "
     "' \"-\" \"agent/', cast(event_id % 5 as string), '\"')"

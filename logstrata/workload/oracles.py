@@ -257,7 +257,7 @@ _ARCHIVE_LINES = f"select *, {_HELD_PATH} as path from archive_rows"
 check(
     "archive_select",
     """select *, cast(null as varchar) as problem from picked where format is not null union all
-       select distinct archive, null, null, null, 'expected at most one .json file, found ' || json_files from counted where json_files > 1""",
+       select distinct archive, null, null, null, 'several .json members in one archive: ' || json_files from counted where json_files > 1""",
     "archive_rows",
     "archive_names",
     lines=_ARCHIVE_LINES,
