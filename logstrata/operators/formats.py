@@ -146,6 +146,9 @@ def grok_regex(pattern: str) -> tuple[str, list[str]]:
         return f"({expand(match)})"
 
     body = re.sub(r"%\{(\w+)(?::(\w+))?\}", expand_or_name, pattern)
+    if "%{" in body:
+        # A type suffix or a misspelt item would otherwise be matched as literal text.
+        raise ValueError(f"unsupported grok item in {pattern!r}")
     return rf"(?Us)\A(?:{body})\z", names
 
 

@@ -249,3 +249,8 @@ def test_invalid_utf8_is_reported_and_other_encodings_are_read(spark, tmp_path):
     parsed = formats.csv(files.read_lines(spark, str(tmp_path / "c")), "ISO-8859-1").orderBy("record_ref").collect()
     assert [(r["record_ref"], json.loads(r["record_json"])["name"], r["problem"]) for r in parsed] == [(8, "é", None), (12, "ü", None)]
     assert formats.csv(files.read_lines(spark, str(tmp_path / "c"))).where("problem = 'not UTF-8'").count() == 2
+
+
+def test_grok_items_with_a_type_are_refused():
+    with pytest.raises(ValueError, match="unsupported grok item"):
+        formats.grok_regex("%{INT:status:int}")
