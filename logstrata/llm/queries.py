@@ -94,3 +94,24 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# Full sets against full sets, then everything reachable over links.
+ORACLES["op1_minhash_dedup"] = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select doc_id, case when len(w) >= 3 then list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from w),
+e as (select doc_id, len(s) as n, unnest(s) as x from s),
+links as (
+  select a.doc_id as a, b.doc_id as b from e a join e b on a.x = b.x and a.doc_id <> b.doc_id
+    and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+least_id as (select a, min(b) as b from reach group by a)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, least(s.doc_id, coalesce(l.b, s.doc_id)) as component_id,
+  s.doc_id <= coalesce(l.b, s.doc_id) as kept
+from s left join least_id l on l.a = s.doc_id
+"""
