@@ -98,8 +98,6 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return keys
 
 
-
-
 def links_of(signatures: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of all pairs that share a band, survive the batches, and reach the threshold exactly."""
     n, out = len(sets), []
@@ -160,28 +158,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
             if len(present):
                 for i in range(2):
                     sums[i, present] = np.add.reduceat(mix(values + np.uint64(i + 1)), first)
-                for row, signature in zip(present.tolist(), signer.sign(values, first)):
-                    blobs[row] = signature.tobytes()
+                for row, keys in zip(present.tolist(), band_keys(signer.sign(values, first))):
+                    blobs[row] = keys.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [part.column("key"), pa.array(counts), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(blobs, pa.binary())],
-                names=["key", "n_shingles", "h1", "h2", "signature"],
+                names=["key", "n_shingles", "h1", "h2", "keys"],
             )
 
-    signed = materialize(source.mapInArrow(sign, f"key {kind}, n_shingles long, h1 long, h2 long, signature binary"), "signatures")
+    signed = materialize(source.mapInArrow(sign, f"key {kind}, n_shingles long, h1 long, h2 long, keys binary"), "signatures")
     worded = signed.where((F.col("n_shingles") > 0) & F.col("key").isNotNull())
-    nodes = worded.groupBy("h1", "h2").agg(F.min("key").alias("node"), F.first("signature").alias("signature"))
+    nodes = worded.groupBy("h1", "h2").agg(F.min("key").alias("node"), F.first("keys").alias("keys"))
     nodes = materialize(nodes, "nodes")
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                signatures = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint32).reshape(part.num_rows, -1)
-                keys = band_keys(signatures)
+                keys = np.frombuffer(b"".join(part.column("keys").to_pylist()), np.uint64).reshape(part.num_rows, -1)
                 node = part.column("node").take(pa.array(np.repeat(np.arange(part.num_rows), keys.shape[1])))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), node], names=["band", "node"])
 
-    bands = nodes.select("node", "signature").mapInArrow(banded, f"band long, node {kind}")
+    bands = nodes.select("node", "keys").mapInArrow(banded, f"band long, node {kind}")
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("last")).where(F.col("a") < F.col("last"))
     edges = shared.join(bands, "band").select("a", F.col("node").alias("b")).distinct()
     clusters = components(edges).withColumnRenamed("component", "cluster")
