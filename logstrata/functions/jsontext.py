@@ -1,11 +1,15 @@
-"""Strict JSON checks, field counts and canonical layout, without any UDF."""
+"""Strict JSON checks, field counts and canonical layout.
+
+Spark's parser does the work; only long texts that it refuses go to ``strictjson``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logstrata.functions.barrier import bound
+from logstrata.functions import strictjson
+from logstrata.functions.barrier import bound, once
 
 # Possessive quantifiers keep the matcher iterative, so very long strings are safe.
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
@@ -27,15 +31,15 @@ def guarded(text: Column) -> Column:
     """Variant ``[value, guard]`` of a JSON text, null when it does not parse.
 
     Spark's parser ignores what follows a complete value, and text may close the
-    list early. The guard is longer than any string in the text, so finding it
-    in second place proves that the text is exactly one value.
+    list early. The guard is a digest of the text, which the text cannot hold, so
+    finding it in second place proves that the text is exactly one value.
     """
     wrapped = F.concat(F.lit("["), _finite(text), F.lit(',"'), _guard(text), F.lit('"]'))
     return F.when(text.rlike(_START), F.try_parse_json(wrapped))
 
 
 def _guard(text: Column) -> Column:
-    return F.repeat(F.lit("~"), F.octet_length(text))
+    return F.sha2(text.cast("binary"), 256)
 
 
 def is_guarded(variant: Column, text: Column) -> Column:
@@ -43,11 +47,16 @@ def is_guarded(variant: Column, text: Column) -> Column:
     return F.coalesce(F.try_variant_get(variant, "$[1]", "string") == _guard(text), F.lit(False))
 
 
-def is_json(text: Column) -> Column:
-    """True when the whole text is exactly one JSON value."""
+def is_parsed(text: Column) -> Column:
+    """True when Spark's parser, with its limits, takes the whole text for one JSON value."""
     return is_guarded(guarded(text), text)
 
 
+def is_json(text: Column) -> Column:
+    """True when the whole text is exactly one JSON value, however long."""
+    return strictjson.judged(F.when(is_parsed(text), 0), text).isNotNull()
+
+
 def is_object(text: Column) -> Column:
     """For a valid JSON text: is it an object?"""
     return text.rlike(r"\A[ \t\r\n]*+\{")
@@ -59,7 +68,7 @@ def text_fields(canonical: Column) -> Column:
     With every string blanked out, each remaining colon belongs to exactly one pair.
     """
     bare = F.regexp_replace(canonical, _STRING, "")
-    return F.coalesce(F.regexp_count(bare, F.lit(":")), F.lit(0))
+    return F.regexp_count(bare, F.lit(":"))
 
 
 def variant_fields(variant: Column) -> Column:
@@ -68,8 +77,9 @@ def variant_fields(variant: Column) -> Column:
 
 
 def count_fields(text: Column) -> Column:
-    """Key/value pairs at any depth of a JSON text; 0 for scalars."""
-    return variant_fields(F.when(text.rlike(_START), F.try_parse_json(_finite(text))))
+    """Key/value pairs at any depth of a JSON text; 0 for scalars and for what is no JSON."""
+    parsed = variant_fields(F.when(text.rlike(_START), F.try_parse_json(_finite(text))))
+    return F.coalesce(strictjson.judged(parsed, text), F.lit(0)).cast("int")
 
 
 def _escaped(text: Column) -> Column:
@@ -108,7 +118,7 @@ def element_text(raw: Column, typed: Column) -> Column:
 
 
 def elements(document: Column, key: str) -> Column:
-    """The list under ``key`` as array<struct<text, typed>>, null if there is none."""
+    """The list under ``key`` as array<struct<text, typed>>, null if the parser finds none."""
     raw = F.from_json(document, f"`{key}` array<string>")[key]
     typed = F.from_json(document, f"`{key}` array<variant>")[key]
     typed = F.transform(typed, lambda v: F.to_json(v))
@@ -116,11 +126,39 @@ def elements(document: Column, key: str) -> Column:
         F.arrays_zip(raw.alias("r"), typed.alias("t")),
         lambda x: F.struct(element_text(x["r"], x["t"]).alias("text"), x["t"].alias("typed")),
     )
-    return F.when(is_json(document), pairs)
+    return F.when(is_parsed(document), pairs)
+
+
+def listed(documents: DataFrame, key: str) -> DataFrame:
+    """Add ``elements``: the list under ``key`` of each ``content``, null if there is none."""
+    text = F.col("content")
+    found = once(documents, _found=elements(text, key))
+    late = strictjson.records(strictjson.refused(F.col("_found"), text))
+    return once(found, elements=F.coalesce("_found", late)).drop("_found")
+
+
+def listed_events(documents: DataFrame) -> DataFrame:
+    """Add ``elements``: the records of the usable events of each ``content``, null if it lists none.
+
+    A document goes to Python as a whole when the parser finds no list in it, or
+    nothing in an event that is long enough to exceed a limit.
+    """
+    text = F.col("content")
+    found = once(documents, _found=elements(text, "events"))
+    objects = F.filter("_found", lambda e: F.startswith(e["typed"], F.lit("{")))
+    records = F.transform(objects, lambda e: F.struct(normalize_object(e["text"]).alias("text"), F.octet_length(e["text"]).alias("size")))
+    read = once(found, _records=records).drop("_found")
+    doubtful = F.exists("_records", lambda r: r["text"].isNull() & (r["size"] > strictjson.PARSED_BYTES))
+    kept = F.transform(
+        F.filter("_records", lambda r: r["text"].isNotNull()),
+        lambda r: F.struct(r["text"].alias("text"), F.to_json(F.try_parse_json(r["text"])).alias("typed")),
+    )
+    sure = once(read, _kept=F.when(~doubtful, kept)).drop("_records")
+    late = strictjson.event_records(strictjson.refused(F.col("_kept"), text))
+    return once(sure, elements=F.coalesce("_kept", late)).drop("_kept")
 
 
-# Keys of an event wrapper that carry no record content (fixed values).
-WRAPPER_KEYS = ("@timestamp", "ecs")
+WRAPPER_KEYS = strictjson.WRAPPER_KEYS
 
 
 def _rebuilt(raw: Column, typed: Column) -> Column:
@@ -143,16 +181,23 @@ def normalize_object(event: Column) -> Column:
     def kept(x: Column) -> Column:
         # A string value reads as its decoded text, an object as its JSON text.
         only = F.element_at(x["raw"], F.get(F.map_keys(x["typed"]), F.lit(0)))
-        unwrapped = bound(only, lambda t: F.when(is_object(t), F.when(is_json(t), t)))
+        unwrapped = bound(only, lambda t: F.when(is_object(t), F.when(is_parsed(t), t)))
         return F.when(F.size(x["typed"]) == 1, unwrapped).when(F.size(x["typed"]) > 1, _rebuilt(x["raw"], x["typed"]))
 
     return bound(read, kept)
 
 
 def normalize_event(event: Column) -> Column:
-    """Record text of one wrapped event, or null when nothing usable is left.
+    """Record text of one wrapped event, or null when the parser leaves nothing usable.
 
     Wrapper keys go; several remaining keys are kept as they are; a single one
     is unwrapped, decoding a JSON string, and must be an object.
     """
-    return F.when(is_object(event), F.when(is_json(event), normalize_object(event)))
+    return F.when(is_object(event), F.when(is_parsed(event), normalize_object(event)))
+
+
+def normalized_events(rows: DataFrame, event: str) -> DataFrame:
+    """Add ``record_json``: ``normalize_event`` of events of any length."""
+    read = once(rows, _read=normalize_event(F.col(event)))
+    late = strictjson.event_record(strictjson.refused(F.col("_read"), F.col(event)))
+    return read.withColumn("record_json", F.coalesce("_read", late)).drop("_read")

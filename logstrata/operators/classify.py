@@ -185,11 +185,9 @@ def fixture_kind(path: Column) -> Column:
 
 def has_normalizable_event(documents: DataFrame) -> DataFrame:
     """Per document ``(path, content)``: a JSON object with a list of events, one of them usable."""
-    listed = once(documents, elements=jsontext.elements(F.col("content"), "events"))
-    objects = F.filter("elements", lambda e: F.startswith(e["typed"], F.lit("{")))
-    usable = F.exists(objects, lambda e: jsontext.normalize_object(e["text"]).isNotNull())
     whole = jsontext.is_object(F.col("content"))
-    return listed.select("path", F.coalesce(whole & usable, F.lit(False)).alias("usable"))
+    usable = F.size("elements") > 0
+    return jsontext.listed_events(documents).select("path", F.coalesce(whole & usable, F.lit(False)).alias("usable"))
 
 
 def fixture_select(files: DataFrame, probes: DataFrame, documents: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logstrata.functions import jsontext, kv, pytext, xmltext
+from logstrata.functions import jsontext, kv, pytext, strictjson, xmltext
 from logstrata.functions.barrier import once
 from logstrata.operators import framing
 
@@ -32,17 +32,19 @@ def checked(records: DataFrame, mode: str = "failfast") -> DataFrame:
     return once(records, **{c: F.col(c) for c in judged}, problem=raised)
 
 
+def _judged_fields(variant: Column, text: Column) -> Column:
+    """Key/value pairs of a guarded text, null when it is not one JSON value in UTF-8."""
+    parsed = F.when(jsontext.is_guarded(variant, text), jsontext.variant_fields(variant))
+    count = strictjson.judged(F.when(F.is_valid_utf8(text), parsed), F.when(F.is_valid_utf8(text), text))
+    return count.cast("int")
+
+
 def _json_records(rows: DataFrame, text: str, problem: str) -> DataFrame:
     source = F.col(text)
     parsed = once(rows, _variant=jsontext.guarded(source))
-    judged = once(
-        parsed,
-        _ok=F.is_valid_utf8(source) & jsontext.is_guarded(F.col("_variant"), source),
-        field_count=jsontext.variant_fields(F.col("_variant")),
-    )
+    judged = once(parsed, field_count=_judged_fields(F.col("_variant"), source)).withColumn("_ok", F.col("field_count").isNotNull())
     return (
         judged.withColumn("record_json", F.when(F.col("_ok"), F.trim(source, F.lit(" \t\r\n"))))
-        .withColumn("field_count", F.when(F.col("_ok"), F.col("field_count")))
         .withColumn("is_object", F.col("_ok") & jsontext.is_object(source))
         .withColumn("problem", F.when(~F.col("_ok"), F.lit(problem)))
         .withColumn("position", F.col("record_ref"))
@@ -229,17 +231,12 @@ def _exploded(documents: DataFrame, problem: str) -> DataFrame:
 
 def json_array(documents: DataFrame) -> DataFrame:
     """``{"Records": […]}`` documents: the ref is the position in the list."""
-    listed = once(documents, elements=jsontext.elements(F.col("content"), "Records"))
-    return _exploded(listed, "no Records list")
+    return _exploded(jsontext.listed(documents, "Records"), "no Records list")
 
 
 def events_wrapper(documents: DataFrame) -> DataFrame:
     """``{"events": […]}`` documents: the ref counts the events that survive normalisation."""
-    listed = once(documents, elements=jsontext.elements(F.col("content"), "events"))
-    objects = F.filter("elements", lambda e: F.startswith(e["typed"], F.lit("{")))
-    normalized = F.filter(F.transform(objects, lambda e: jsontext.normalize_object(e["text"])), lambda t: t.isNotNull())
-    kept = F.transform(normalized, lambda t: F.struct(t.alias("text"), F.to_json(F.try_parse_json(t)).alias("typed")))
-    return _exploded(once(listed, elements=kept), "no events list")
+    return _exploded(jsontext.listed_events(documents), "no events list")
 
 
 def xml_events(chunks: DataFrame) -> DataFrame:
@@ -285,14 +282,17 @@ def windows_events(decoded: DataFrame) -> DataFrame:
     """Decoded event JSON keyed by its record id; entries that did not decode are skipped."""
     text = F.col("event")
     parsed = once(decoded, _variant=jsontext.guarded(text))
+    # Read from the text itself where the parser refused the whole of it.
+    record_id = F.regexp_extract(text, r'"EventRecordID"\s*+:\s*+"?+(\d++)', 1)
     judged = once(
         parsed,
-        _ok=jsontext.is_guarded(F.col("_variant"), text) & jsontext.is_object(text),
-        record_ref=F.try_variant_get("_variant", "$[0].Event.System.EventRecordID", "bigint"),
-        field_count=jsontext.variant_fields(F.col("_variant")),
+        field_count=_judged_fields(F.col("_variant"), text),
+        record_ref=F.when(
+            F.col("_variant").isNull(), F.nullif(record_id, F.lit("")).try_cast("bigint")
+        ).otherwise(F.try_variant_get("_variant", "$[0].Event.System.EventRecordID", "bigint")),
     )
     return (
-        judged.where("_ok")
+        judged.where(F.col("field_count").isNotNull() & jsontext.is_object(text))
         .withColumn("record_json", text)
         .withColumn("is_object", F.lit(True))
         .withColumn("problem", F.when(F.col("record_ref").isNull(), F.lit("no EventRecordID")))

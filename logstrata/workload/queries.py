@@ -236,7 +236,7 @@ def path_classify(spark, sf_dir):
 @query
 def normalize_event(spark, sf_dir):
     items = corpora.corpus(spark, sf_dir, "event_items")
-    return items.select("path", "seq", jsontext.normalize_event(F.col("line")).alias("record_json"))
+    return jsontext.normalized_events(items.select("path", "seq", "line"), "line").drop("line")
 
 
 @query

@@ -211,6 +211,35 @@ def test_windows_events_skip_what_did_not_decode(spark):
     assert [(r["record_ref"], r["problem"]) for r in got] == [(5000000000, None), (None, "no EventRecordID")]
 
 
+def test_documents_and_lines_beyond_the_limits_of_the_parser(spark):
+    number, name = "7" * 1200, "k" * 60_000
+    documents = [
+        ("many", json.dumps({"Records": [{"k": "v" * 20}] * 700_000}), 700_000),
+        ("number", '{"Records": [{"n": ' + number + '}, 1]}', 2),
+        ("name", json.dumps({name: 1, "Records": [{"a": 1, "b": 2}]}), 1),
+    ]
+    rows = spark.createDataFrame([d[:2] for d in documents], "path string, content string")
+    found = formats.checked(formats.json_array(rows)).groupBy("path").agg(F.count("*"), F.sum("field_count")).collect()
+    assert sorted(map(tuple, found)) == [("many", 700_000, 700_000), ("name", 1, 2), ("number", 2, 1)]
+
+    events = '{"events": [{"message": "{\\"n\\": ' + number + '}"}, {"x": {"b": 2}}, {"message": "' + "y" * 900 + '"}]}'
+    wrapped = spark.createDataFrame([("p", events), ("q", '{"events": [{"message": "' + "y" * 900 + '"}]}')], "path string, content string")
+    got = formats.events_wrapper(wrapped).orderBy("record_ref").collect()
+    assert [(r["path"], r["record_ref"], json.loads(r["record_json"])) for r in got] == [("p", 0, {"n": int(number)}), ("p", 1, {"b": 2})]
+    usable = classify.has_normalizable_event(wrapped).collect()
+    assert sorted(map(tuple, usable)) == [("p", True), ("q", False)]
+
+    lines = [("f", 0, i, t) for i, t in enumerate(['{"n": ' + number + "}", json.dumps({"s": "x" * 21_000_000}), '{"n": ' + number + "} x"])]
+    framed = spark.createDataFrame(lines, "path string, block bigint, seq bigint, line string")
+    got = formats.json_lines(framed).orderBy("record_ref").collect()
+    assert [(r["field_count"], r["is_object"], r["problem"]) for r in got] == [(1, True, None), (1, True, None), (None, False, "not a JSON value")]
+    assert classify.is_json_lines(framed.where("seq < 2")).first()["json_lines"]
+
+    event = json.dumps({"Event": {"System": {"EventRecordID": 7}, "EventData": {"x": "y" * 21_000_000}}})
+    decoded = spark.createDataFrame([("p", 0, 0, event)], "path string, block bigint, seq bigint, event string")
+    assert [tuple(r) for r in formats.windows_events(decoded).select("record_ref", "field_count").collect()] == [(7, 5)]
+
+
 def test_resolve_gives_back_each_record(spark, tmp_path):
     (tmp_path / "audit.log").write_text(AUDIT)
     parsed = formats.auditd(files.read_lines(spark, str(tmp_path)))

@@ -141,3 +141,28 @@ def test_strip_removes_unicode_blanks(spark):
     texts = ["   x y \x1c\n", "﻿z", " \t"]
     assert column(spark, texts, pytext.strip) == [t.strip() for t in texts]
     assert column(spark, texts, pytext.first_char) == ["x", "﻿", ""]
+
+
+def long_values():
+    """JSON values beyond what Spark's parser takes: a long document, string, number and name."""
+    return [
+        json.dumps([{"k": "v" * 20} for _ in range(900_000)]),
+        json.dumps({"s": "x" * 25_000_000}),
+        '{"n": ' + "7" * 1200 + "}",
+        json.dumps({"k" * 60_000: {"b": 1}}),
+    ]
+
+
+def test_json_checks_have_no_size_limit(spark):
+    texts = long_values()
+    broken = [texts[0][:-1], texts[1] + " x", texts[2].replace("7}", "7.}"), texts[3] + "}"]
+    assert len(texts[0]) > 25_000_000
+    assert column(spark, texts + broken, jsontext.is_json) == [python_json(t) for t in texts + broken] == [True] * 4 + [False] * 4
+    assert column(spark, texts, jsontext.count_fields) == [900_000, 1, 1, 2]
+
+
+def test_events_of_any_size_are_normalized(spark):
+    event = json.dumps({"@timestamp": "t", "message": '{"n": ' + "7" * 1200 + "}"})
+    rows = spark.createDataFrame([(event,), ('{"message": "{\\"a\\": 1}"}',), ('{"message": "' + "x" * 2000 + '"}',)], "e string")
+    found = {r["e"]: r["record_json"] for r in jsontext.normalized_events(rows, "e").collect()}
+    assert [found[e["e"]] and json.loads(found[e["e"]]) for e in rows.collect()] == [{"n": int("7" * 1200)}, {"a": 1}, None]
