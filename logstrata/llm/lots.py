@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logstrata.llm.textblocks import slices
+from logstrata.llm.textblocks import release, slices
 from logstrata.session import materialize
 
 LOT_BYTES = 8 << 20
@@ -63,6 +63,7 @@ def opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.column("lot")[i].as_py(), from_blob(batch.column("blob")[i].as_buffer())
+    release()
 
 
 def bucket_count(lots: DataFrame, bytes_each: int) -> int:

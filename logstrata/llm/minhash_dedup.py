@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logstrata.llm.components import components
-from logstrata.llm.textblocks import LOWER, PrefixHash, flat, mix, slices, windows, word_spans
+from logstrata.llm.textblocks import LOWER, PrefixHash, flat, mix, release, slices, windows, word_spans
 from logstrata.session import materialize
 
 ROWS = 5
@@ -228,6 +228,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
             for p, q in links_of(own, full, percent):
                 a.append(begin + p)
                 b.append(begin + q)
+        release()
         return pa.table({"a": node.take(pa.array(a, pa.int64())), "b": node.take(pa.array(b, pa.int64()))})
 
     links = paired.groupBy("place").applyInArrow(link, f"a {kind}, b {kind}")

@@ -5,6 +5,7 @@ Everything here works on whole texts, in slices of a bounded number of bytes; a
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,6 +25,14 @@ _letters: dict[int, np.ndarray] = {}
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def release() -> None:
+    """Hand freed memory back to the system: a Python worker outlives its task, and what it keeps idle fills the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one slice hold at most ``limit`` bytes, or one row."""
     for batch in batches:
@@ -37,6 +46,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             last = max(int(np.searchsorted(ends, done + limit, "right")), first + 1)
             yield batch.slice(first, last - first)
             first = last
+    release()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
