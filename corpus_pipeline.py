@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from logstrata import configure
 from logstrata.llm import bpe, language_codes, suffix_dedup
@@ -18,12 +16,6 @@ from logstrata.session import materialize
 ORACLE_SQL = None
 
 
-@F.arrow_udf(StringType())
-def readable(contents: pa.Array) -> pa.Array:
-    """Bytes as text, without the halves of characters that a cut left."""
-    return pa.array([None if c is None else c.decode("utf-8", "ignore") for c in contents.to_pylist()], pa.string())
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language can be told: those without a letter go. With no labelled language, all texts with letters stay."""
     model = language_codes.fit(docs, F.lit(True))
@@ -41,9 +33,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of earlier ones; a document that loses all its text goes."""
-    cut = suffix_dedup.remove_repeats(docs)
+    cut = suffix_dedup.remove_repeats(docs, content=False, readable=True)
     left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes")))
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(readable("content"))
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))
     left = left.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")))
     return left.select(*docs.columns)
 
