@@ -1,11 +1,17 @@
 """Benchmark decontamination: random-walk embedding, bit-sampling LSH and exact edit verification.
 
-Texts are lower-cased runs of letters and digits, one blank between them. Windows of an item's size are looked at from words
-whose hash is the least among ``SPREAD`` neighbours, which a copy of an item repeats wherever it lies. From such a word a
-random walk reads ``STEPS`` characters: at each step a random function of step and character decides whether to move on, so
-that strings at a small edit distance soon walk in step and differ in few places. Each of ``WALKS`` walks is sampled at
-``BITS`` steps, ``TABLES`` times; windows that agree with an item in one sample are verified by the exact edit distance
-between the item and the best part of the window, stretched by the allowed edits.
+Texts are lower-cased runs of letters and digits, one blank between them. Windows start at bytes whose next ``LEAD`` bytes
+hash to a share of 1 in ``SPREAD``, which a copy of an item repeats wherever it lies, in any script. From such a byte a random
+walk reads ``STEPS`` characters: at each step a random function of step and character decides whether to move on, so that
+strings at a small edit distance soon walk in step. Each table has a walk, a sample of ``BITS`` of its steps and starts of its
+own; windows that agree with an item in one sample are candidates.
+
+Items are taken in classes of doubling size. Copies of a class's items are edited at random as far as allowed, and tables are
+added until the share of copies found reaches ``TARGET``. A class that ``MOST_TABLES`` do not bring there, items without a
+window and items below ``SHORT`` bytes are found without loss: of one piece more than the allowed edits, one is left as it is.
+
+A candidate's part of the item, at most 64 bytes around the window, must lie in the text at a fitting edit distance; what is
+left is verified by the exact edit distance between the item and the best part of the text, stretched by the allowed edits.
 """
 
 from __future__ import annotations
@@ -18,15 +24,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logstrata.llm.license_scan import FOLD
-from logstrata.llm.textblocks import PrefixHash, flat, mix, slices, word_spans
+from logstrata.llm.textblocks import flat, mix, slices
 
 PERCENT = 80
-SPREAD = 8
-STEPS = 40
-WALKS = 2
-TABLES = 4
-BITS = 12
+TARGET = 0.98
+TRIALS = 1000
+MOST_TABLES = 32
+SPREAD = 4
+LEAD = 3
+STEPS = 24
+BITS = 16
 SHORTEST = 8
+SHORT = 32
+# A part of this many bytes fits one machine word; parts of an item start so many bytes apart.
+PART, STRIDE = 64, 32
 BLOCK_BYTES = 8 << 20
 
 
@@ -40,44 +51,66 @@ def normalised(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return folded[kept], np.searchsorted(kept, bounds), kept
 
 
-def chosen_words(data: np.ndarray, bounds: np.ndarray, spread: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and text number of words with the least hash among ``spread`` neighbours; of all words in shorter texts."""
-    starts, ends, text = word_spans(data, bounds)
-    least = PrefixHash(data).of(starts, ends) >> np.uint64(28) << np.uint64(28) | np.arange(len(starts), dtype=np.uint64)
-    few = np.bincount(text, minlength=len(bounds) - 1)[text] < spread
-    if len(starts) >= spread:
-        width, own = 1, least
-        while 2 * width <= spread:
-            own = np.minimum(own[:-width], own[width:])
-            width *= 2
-        n = len(starts) - spread + 1
-        own = np.minimum(own[:n], own[spread - width : spread - width + n])[text[:n] == text[spread - 1 :]]
-        few[(own & np.uint64((1 << 28) - 1)).astype(np.int64)] = True
-    chosen = np.flatnonzero(few)
-    return starts[chosen], text[chosen]
-
-
-class Embedding:
-    """Seeded walks over ``steps`` steps, and the keys of their samples."""
-
-    def __init__(self, steps: int, seed: int = 5):
-        draw = np.random.Generator(np.random.PCG64(seed + steps))
-        self.steps = steps
-        self.moves = draw.integers(0, 2, (WALKS, steps, 256), dtype=np.uint8)
-        self.samples = np.stack([[np.sort(draw.choice(steps, min(BITS, steps), replace=False)) for _ in range(TABLES)] for _ in range(WALKS)])
-
-    def keys(self, data: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
-        """One array of keys, by start, for each walk and sample; ``data`` ends with ``steps`` zeros."""
-        for walk in range(WALKS):
-            sums = np.zeros((TABLES, len(starts)), np.uint64)
-            at = starts.copy()
-            for step in range(self.steps):
-                letters = data[at]
-                for table in np.flatnonzero((self.samples[walk] == step).any(1)):
-                    sums[table] = sums[table] * np.uint64(0x100000001B3) + letters + np.uint64(1)
-                at += self.moves[walk, step][letters]
-            for table in range(TABLES):
-                yield mix(sums[table] + np.uint64((walk * TABLES + table + 1) << 56))
+class Walk:
+    """A seeded walk over ``STEPS`` steps from its own share of the starts, and the key of its sample."""
+
+    def __init__(self, seed: int):
+        draw = np.random.Generator(np.random.PCG64(seed))
+        self.moves = draw.integers(0, 2, (STEPS, 256), dtype=np.uint8)
+        self.sample = np.zeros(STEPS, bool)
+        self.sample[draw.choice(STEPS, BITS, replace=False)] = True
+        self.salt = np.uint64(draw.integers(1 << 63))
+
+    def windows(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and key of each window; the last ones read zeros behind ``data``."""
+        data = np.concatenate((data, np.zeros(STEPS, np.uint8)))
+        lead = np.zeros(len(data) - STEPS, np.uint32)
+        for k in range(LEAD):
+            lead = lead << np.uint32(8) | data[k : k + len(lead)]
+        lead = (lead ^ np.uint32(self.salt >> np.uint64(32))) * np.uint32(int(self.salt) & 0xFFFFFFFF | 1)
+        lead = (lead ^ lead >> np.uint32(15)) * np.uint32(0x2C1B3C6D)
+        starts = np.flatnonzero(lead >> np.uint32(16) & np.uint32(SPREAD - 1) == 0)
+        at, sums = starts.copy(), np.zeros(len(starts), np.uint64)
+        for step in range(STEPS):
+            letters = data[at]
+            if self.sample[step]:
+                sums = sums * np.uint64(0x100000001B3) + letters + np.uint64(1)
+            at += self.moves[step][letters]
+        return starts, at, mix(sums)
+
+
+class Pieces:
+    """Every ``size`` bytes as a key."""
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def windows(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        starts = np.arange(max(len(data) - self.size + 1, 0))
+        sums = np.zeros(len(starts), np.uint64)
+        for k in range(self.size):
+            sums = sums * np.uint64(0x100000001B3) + data[k : k + len(starts)] + np.uint64(1)
+        return starts, starts + self.size, mix(sums)
+
+
+class Table:
+    """Sorted keys of one way to cut windows, with the item and the offset of each."""
+
+    def __init__(self, way: Walk | Pieces, keys: np.ndarray, item: np.ndarray, offset: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.way, self.keys = way, keys[order]
+        self.item, self.offset = item[order].astype(np.int32), offset[order].astype(np.int32)
+        self.known = np.zeros(1 << 20, bool)
+        self.known[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+
+    def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, item and offset in the item of each window that shares a key."""
+        starts, _, keys = self.way.windows(data)
+        near = np.flatnonzero(self.known[(keys >> np.uint64(44)).astype(np.int64)])
+        low, high = np.searchsorted(self.keys, keys[near]), np.searchsorted(self.keys, keys[near], "right")
+        many = high - low
+        at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return starts[np.repeat(near, many)], self.item[at], self.offset[at]
 
 
 def best_part(pattern: bytes, text: bytes) -> tuple[int, int]:
@@ -102,62 +135,171 @@ def best_part(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def edited(text: bytes, edits: int, draw: np.random.Generator) -> bytes:
+    """A copy with so many random replacements, insertions and deletions of bytes."""
+    copy = bytearray(text)
+    for kind, letter, place in zip(draw.integers(0, 3, edits), draw.integers(0, len(text), edits), draw.random(edits)):
+        at = int(place * len(copy))
+        copy[at : at + (kind != 1)] = b"" if kind == 2 else text[letter : letter + 1]
+    return bytes(copy)
+
+
 class Items:
-    """Normalised items of one size class and the keys of their windows."""
+    """Normalised items, the tables of their windows and the letters of their parts."""
 
-    def __init__(self, ids: list[int], texts: list[bytes], steps: int):
+    def __init__(self, ids: list, texts: list[bytes], percent: int):
         self.ids, self.texts = ids, texts
-        self.embedding = Embedding(steps)
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.allowed = self.sizes * (100 - percent) // 100
+        rate = (100 - percent) / 100
+        self.slack = np.where(self.sizes <= PART, self.allowed, 16)
+        self.most = np.where(self.sizes <= PART, self.allowed, int(PART * rate + 3 * (PART * rate * (1 - rate)) ** 0.5))
+        self._cut_parts()
+        bounds = np.concatenate(([0], np.cumsum(self.sizes)))
         data = np.frombuffer(b"".join(texts), np.uint8)
-        bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        starts, _, text = word_spans(data, bounds)
-        early = bounds[1:][text] - starts >= steps
-        self.spread = max(1, min(SPREAD, int(np.bincount(text[early], minlength=len(texts)).min())))
-        starts, text = chosen_words(data, bounds, self.spread)
-        early = bounds[1:][text] - starts >= steps
-        starts, text = starts[early], text[early]
-        keys = list(self.embedding.keys(np.concatenate((data, np.zeros(steps, np.uint8))), starts))
-        flat_keys = np.concatenate(keys)
-        order = np.argsort(flat_keys, kind="stable")
-        self.keys = flat_keys[order]
-        self.item = np.tile(text, len(keys))[order]
-        self.offset = np.tile(starts - bounds[:-1][text], len(keys))[order]
-        self.known = np.zeros(1 << 20, bool)
-        self.known[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        owner = np.repeat(np.arange(len(texts)), self.sizes)
+        left = {c: self._trials(np.flatnonzero((self.sizes >= c) & (self.sizes < 2 * c))) for c in self._classes()}
+        self.tables: list[Table] = []
+        reached = np.zeros(len(texts), bool)
+        for number in range(MOST_TABLES):
+            if not left:
+                break
+            walk = Walk(number + 1)
+            starts, ends, keys = walk.windows(data)
+            own = np.flatnonzero(ends <= bounds[1:][owner[starts]])
+            own = own[np.isin(self._class_of(self.sizes[owner[starts[own]]]), list(left))]
+            item = owner[starts[own]]
+            table = Table(walk, keys[own], item, starts[own] - bounds[:-1][item])
+            self.tables.append(table)
+            reached[item] = True
+            for size, (copies, copy_bounds, whose, found) in list(left.items()):
+                at, hit, _ = self._near(table, copies)
+                text = np.searchsorted(copy_bounds, at, "right") - 1
+                found[text[hit == whose[text]]] = True
+                if found.mean() >= TARGET:
+                    del left[size]
+        rest = np.flatnonzero((self.sizes < SHORT) | ~reached | np.isin(self._class_of(self.sizes), list(left)))
+        self._add_pieces(rest[self.sizes[rest] > 0])
+
+    @staticmethod
+    def _class_of(sizes: np.ndarray) -> np.ndarray:
+        return 1 << np.floor(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+
+    def _classes(self) -> list[int]:
+        return np.unique(self._class_of(self.sizes[self.sizes >= SHORT])).tolist()
+
+    def _trials(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Copies of items of a class, edited as far as allowed: bytes, bounds, whose they are, and which are found."""
+        draw = np.random.Generator(np.random.PCG64(7))
+        whose = np.resize(draw.permutation(members)[:TRIALS], max(TRIALS, 1))
+        copies = [edited(self.texts[i], int(self.allowed[i]), draw) for i in whose]
+        bounds = np.concatenate(([0], np.cumsum([len(c) for c in copies])))
+        return np.frombuffer(b"".join(copies), np.uint8), bounds, whose, np.zeros(len(whose), bool)
+
+    def _add_pieces(self, items: np.ndarray) -> None:
+        cut: dict[int, list[tuple[bytes, int, int]]] = {}
+        for i in items.tolist():
+            pieces = int(self.allowed[i]) + 1
+            size = len(self.texts[i]) // pieces
+            cut.setdefault(size, []).extend((self.texts[i][k * size : (k + 1) * size], i, k * size) for k in range(pieces))
+        for size, pieces in sorted(cut.items()):
+            way = Pieces(size)
+            _, _, keys = way.windows(np.frombuffer(b"".join(p for p, _, _ in pieces), np.uint8))
+            self.tables.append(Table(way, keys[::size], *(np.array([p[k] for p in pieces], np.int64) for k in (1, 2))))
+
+    def _cut_parts(self) -> None:
+        """For each part, where each of 32 classes of letters stands in it."""
+        counts = np.maximum(-(-(self.sizes - PART) // STRIDE), 0) + 1
+        self.first = np.concatenate(([0], np.cumsum(counts)))
+        self.letters = np.zeros((self.first[-1], 32), np.uint64)
+        data = np.frombuffer(b"".join(self.texts), np.uint8)
+        begins = np.concatenate(([0], np.cumsum(self.sizes)))[:-1]
+        item = np.repeat(np.arange(len(self.sizes)), counts)
+        start = self._part_start(item, np.arange(self.first[-1]) - self.first[item])
+        for k in range(PART):
+            own = np.flatnonzero(k < self.sizes[item])
+            self.letters[own, data[begins[item[own]] + start[own] + k] & 31] |= np.uint64(1 << k)
+
+    def _part_start(self, item: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return np.maximum(np.minimum(part * STRIDE, self.sizes[item] - PART), 0)
+
+    def _near(self, table: Table, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The hits of a table whose part of the item lies around them at a fitting edit distance."""
+        starts, item, offset = table.hits(data)
+        padded = np.concatenate((data & 31, np.full(1, 31, np.uint8)))
+        kept = [np.zeros(0, np.int64)]
+        for low in range(0, len(starts), 1 << 13):
+            span = slice(low, low + (1 << 13))
+            kept.append(low + np.flatnonzero(self._fits(padded, starts[span], item[span], offset[span])))
+        at = np.concatenate(kept)
+        return starts[at], item[at], offset[at]
+
+    def _fits(self, data: np.ndarray, starts: np.ndarray, item: np.ndarray, offset: np.ndarray) -> np.ndarray:
+        part = np.clip((offset - 8) // STRIDE, 0, self.first[item + 1] - self.first[item] - 1)
+        size = np.minimum(self.sizes[item], PART)
+        slack = self.slack[item]
+        at = starts - offset + self._part_start(item, part) - slack
+        rows = (self.first[item] + part) * 32
+        letters = self.letters.ravel()
+        one, top = np.uint64(1), (size - 1).astype(np.uint64)
+        plus, minus = np.full(len(at), ~np.uint64(0)), np.zeros(len(at), np.uint64)
+        distance, best = size.copy(), size.copy()
+        steps = size + 2 * slack
+        for step in range(int(steps.max(initial=0))):
+            place = at + step
+            place = np.where((place < 0) | (place >= len(data)) | (step >= steps), len(data) - 1, place)
+            same = letters[rows + data[place]]
+            vertical = same | minus
+            horizontal = (((same & plus) + plus) ^ plus) | same
+            up, down = minus | ~(horizontal | plus), plus & horizontal
+            distance += (up >> top & one).astype(np.int64) - (down >> top & one).astype(np.int64)
+            up, down = up << one, down << one
+            plus, minus = down | ~(vertical | up), up & vertical
+            np.minimum(best, distance, out=best)
+        return best <= self.most[item]
 
     def candidates(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Distinct (text, item, supposed start) of windows that share a key, starts rounded down to 16."""
-        starts, text = chosen_words(data, bounds, self.spread)
+        """Distinct (text, item, supposed start) of windows that fit, starts rounded down to 16."""
         found = [np.zeros((0, 3), np.int64)]
-        for keys in self.embedding.keys(np.concatenate((data, np.zeros(self.embedding.steps, np.uint8))), starts):
-            near = np.flatnonzero(self.known[(keys >> np.uint64(44)).astype(np.int64)])
-            low, high = np.searchsorted(self.keys, keys[near]), np.searchsorted(self.keys, keys[near], "right")
-            many = high - low
-            at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-            near = np.repeat(near, many)
-            found.append(np.stack((text[near], self.item[at], (starts[near] - self.offset[at]) >> 4), 1))
+        for table in self.tables:
+            starts, item, offset = self._near(table, data)
+            text = np.searchsorted(bounds, starts, "right") - 1
+            found.append(np.stack((text, item, (starts - offset) >> 4), 1))
         return np.unique(np.concatenate(found), axis=0)
 
+    def places(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, begin, end) of the parts of texts to verify; candidates whose parts touch are one."""
+        held: list[int] = []
+        for text, item, place in self.candidates(data, bounds).tolist():
+            allowed = int(self.allowed[item])
+            begin, end = max(int(bounds[text]), place * 16 - allowed), min(int(bounds[text + 1]), place * 16 + 16 + len(self.texts[item]) + allowed)
+            if held and held[:2] == [text, item] and begin - held[2] <= PART + allowed:
+                held[3] = end
+                continue
+            if held:
+                yield tuple(held)
+            held = [text, item, begin, end]
+        if held:
+            yield tuple(held)
+
 
-def _verified(items: Items, data: np.ndarray, bounds: np.ndarray, percent: int) -> dict[tuple[int, int], tuple[int, int, int]]:
+def _verified(items: Items, data: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
     """The best match of each text and item: edits, start and end."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for text, item, place in items.candidates(data, bounds).tolist():
+    for text, item, begin, stop in items.places(data, bounds):
         pattern = items.texts[item]
-        allowed = len(pattern) * (100 - percent) // 100
         held = best.get((text, item))
         if held and held[0] == 0:
             continue
-        begin = max(bounds[text], place * 16 - allowed)
-        window = data[begin : min(bounds[text + 1], place * 16 + 16 + len(pattern) + allowed)].tobytes()
+        window = data[begin:stop].tobytes()
         exact = window.find(pattern)
         if exact >= 0:
-            best[text, item] = (0, int(begin + exact), int(begin + exact + len(pattern)))
+            best[text, item] = (0, begin + exact, begin + exact + len(pattern))
             continue
         edits, end = best_part(pattern, window)
-        if edits <= allowed and (held is None or edits < held[0]):
+        if edits <= items.allowed[item] and (held is None or edits < held[0]):
             _, length = best_part(pattern[::-1], window[:end][::-1])
-            best[text, item] = (edits, int(begin + end - length), int(begin + end))
+            best[text, item] = (edits, begin + end - length, begin + end)
     return best
 
 
@@ -189,23 +331,18 @@ def _search(source: DataFrame, rows: pa.Table, percent: int, schema: str) -> Dat
     data, bounds, _ = normalised(*flat(rows.column("text").combine_chunks()))
     texts = [data[a:b].tobytes().rstrip(b" ") for a, b in zip(bounds[:-1], bounds[1:])]
     ids = rows.column("item")
-    classes: list[tuple[Items, list]] = []
-    sizes = np.array([len(t) for t in texts])
-    for steps, own in ((STEPS, sizes >= STEPS), (SHORTEST, (sizes >= SHORTEST) & (sizes < STEPS))):
-        chosen = np.flatnonzero(own).tolist()
-        if chosen:
-            classes.append(Items([ids[i].as_py() for i in chosen], [texts[i] for i in chosen], steps))
+    chosen = [i for i, t in enumerate(texts) if len(t) >= SHORTEST]
+    items = Items([ids[i].as_py() for i in chosen], [texts[i] for i in chosen], percent)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             data, bounds, where = normalised(*flat(part.column("text")))
             raw = flat(part.column("text"))[1]
             out: list[tuple] = []
-            for items in classes:
-                for (text, item), (edits, start, end) in sorted(_verified(items, data, bounds, percent).items()):
-                    last = where[end - 1] + 1 if end > start else where[start]
-                    similarity = 1 - edits / len(items.texts[item])
-                    out.append((text, items.ids[item], int(where[start] - raw[text]), int(last - raw[text]), edits, similarity))
+            for (text, item), (edits, start, end) in sorted(_verified(items, data, bounds).items()):
+                last = where[end - 1] + 1 if end > start else where[start]
+                similarity = 1 - edits / len(items.texts[item])
+                out.append((text, items.ids[item], int(where[start] - raw[text]), int(last - raw[text]), edits, similarity))
             columns = list(zip(*out)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [

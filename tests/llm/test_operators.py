@@ -346,3 +346,27 @@ def test_histogram_shards_cut_a_hot_group(spark):
     found = histogram_shards(docs, shards=8).groupBy("shard").agg(F.sum("size").alias("n")).collect()
     sizes = [r.n for r in found]
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 20
+
+
+@pytest.mark.parametrize("words", [7, 14, 40, 120])
+def test_contaminated_finds_what_brute_force_finds(spark, words):
+    draw = random.Random(words)
+    items = [sentence(draw, words) for _ in range(60)]
+    rows, want = [], {percent: set() for percent in (0, 10, 15, 20)}
+    for percent, found in want.items():
+        for k, item in enumerate(items):
+            copy = list(item)
+            for _ in range(len(item) * percent // 100):
+                at, letter, kind = draw.randrange(len(copy)), draw.choice("abelnost "), draw.randrange(3)
+                copy[at : at + (kind != 1)] = "" if kind == 2 else letter
+            key, text = 100 * percent + k, f"{sentence(draw, 12)} {''.join(copy)} {sentence(draw, 9)}"
+            rows.append((key, text))
+            plain = " ".join(text.split()).encode()
+            if best_part(item.encode(), plain)[0] <= len(item) * 20 // 100:
+                found.add((key, k))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs, benchmark).collect()}
+    assert want[0] <= got
+    for percent, found in want.items():
+        assert len(found) >= 55 and len(found & got) >= (0.95 if percent < 20 else 0.9) * len(found)
