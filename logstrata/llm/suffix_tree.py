@@ -1,14 +1,14 @@
 """LM scoring: a probabilistic suffix tree over bytes, beside a smoothed unigram base.
 
 The tree learns from the texts marked for it, lower-cased, white space folded to a blank, each between zero bytes. A
-context of up to ``DEPTH`` bytes becomes a state if it holds at least ``LEAST_SHARE`` of all positions and its next-byte
-distribution diverges from that of its suffix by ``DIVERGENCE`` nats or more; suffixes of states are states. So there are
-at most DEPTH / LEAST_SHARE tested states, whatever the corpus. Counting and both tests are Spark aggregations. A state's
+context of up to ``DEPTH`` bytes becomes a state if it was seen ``LEAST`` times, however large the corpus, and its next-byte
+distribution diverges from that of its suffix by ``DIVERGENCE`` nats or more; suffixes of states are states. A state's
 distribution is smoothed with that of its suffix (Witten-Bell), and each byte is scored in the state of the longest
 suffix of what precedes it.
 
-Token counts for the base grow with the vocabulary, so they never gather in one place: lots of texts send their distinct
-tokens to buckets of the hash space, which add up the counts and answer each lot.
+Neither the tree nor the token counts of the base gather in one place, as both grow with the corpus: lots of texts send
+their distinct tokens and windows of ``DEPTH + 1`` bytes, with counts, to buckets of the hash space, which add up the counts
+and answer each lot. Both tests of a context and the smoothing are Spark aggregations and joins over the distinct windows.
 """
 
 from __future__ import annotations
@@ -20,94 +20,101 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logstrata.llm.bytegrams import counted_grams, padded
+from logstrata.llm.bytegrams import grams, inside_texts, padded
 from logstrata.llm.lots import bucket_count, from_blob, opened, pack
 from logstrata.llm.textblocks import LOWER, SPACE, PrefixHash, flat, mix, per_text, slices, word_spans
 from logstrata.session import materialize
 
 DEPTH = 5
-LEAST_SHARE = 1e-5
+LEAST = 32
 DIVERGENCE = 0.01
 BUCKET_BYTES = 16 << 20
 END = mix(np.zeros(1, np.uint64) + np.uint64(1))[0]
 FOLD = np.where(SPACE, np.uint8(32), LOWER)
 
 
-class SuffixTree:
-    """States as a trie that is walked from the latest byte backwards; ``logs`` has log10 of next-byte probabilities."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        """``levels[d]``: contexts of d bytes, next bytes and counts, of the states of that depth."""
-        seen = np.unique(np.concatenate([[0], levels[0][1]])).astype(np.int64)
-        self.letter = np.zeros(256, np.int64)
-        self.letter[seen] = np.arange(1, len(seen) + 1)
-        width, unseen = len(seen) + 1, 256 - len(seen)
-        counts = np.bincount(self.letter[levels[0][1]], weights=levels[0][2], minlength=width)
-        base = np.full(width, 1 / 256)
-        base[0] = unseen / 256
-        rows, children = [self._smooth(counts[None, :], base[None, :])], [np.zeros((1, width), np.int64)]
-        at = {0: 0}
-        for depth, (contexts, nexts, n) in enumerate(levels[1:], 1):
-            keys, back = np.unique(contexts, return_inverse=True)
-            table = np.bincount(back * width + self.letter[nexts], weights=n, minlength=len(keys) * width).reshape(-1, width)
-            parents = np.array([at[k] for k in (keys & ((1 << 8 * (depth - 1)) - 1)).tolist()], np.int64)
-            first = sum(map(len, rows))
-            above = np.concatenate(rows)[parents] if len(keys) else np.zeros((0, width))
-            children.append(np.zeros((len(keys), width), np.int64))
-            rows.append(self._smooth(table, above))
-            links = np.concatenate(children)
-            links[parents, self.letter[keys >> 8 * (depth - 1)]] = np.arange(first, first + len(keys))
-            children = [links]
-            at = dict(zip(keys.tolist(), range(first, first + len(keys))))
-        self.depth = len(levels) - 1
-        self.child = np.concatenate(children).astype(np.int32)
-        self.child[:, 0] = 0
-        probabilities = np.concatenate(rows)
-        probabilities[:, 0] /= max(unseen, 1)
-        with np.errstate(divide="ignore"):
-            self.logs = np.log10(np.maximum(probabilities, 1e-300)).astype(np.float32)
-
-    @staticmethod
-    def _smooth(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        kinds = np.maximum((counts > 0).sum(-1, keepdims=True), 1)
-        return (counts + kinds * lower) / (counts.sum(-1, keepdims=True) + kinds)
-
-    def score(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 probability of each text with its end."""
-        data, bounds = padded(FOLD[data], bounds, self.depth)
-        letters = self.letter[data]
-        inner = np.ones(len(data), bool)
-        for k in range(self.depth):
-            inner[bounds[:-1] + k] = False
-        at = np.flatnonzero(inner)
-        state, live = np.zeros(len(at), np.int32), np.arange(len(at))
-        for back in range(1, self.depth + 1):
-            below = self.child[state[live], letters[at[live] - back]]
-            live, below = live[below > 0], below[below > 0]
-            state[live] = below
-        text = np.searchsorted(bounds, at, "right") - 1
-        return np.bincount(text, weights=self.logs[state, letters[at]], minlength=len(bounds) - 1)
-
-
-def grow(docs: DataFrame, text: str = "text") -> SuffixTree:
-    """Count over all of ``docs`` and keep the contexts that pass both tests."""
-    counts = materialize(counted_grams(docs, text, DEPTH + 1, FOLD), "contexts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    levels: dict[int, DataFrame] = {}
-    for depth in range(DEPTH, -1, -1):
+def _squeezed(values: np.ndarray) -> bytes:
+    """Compressed with bytes of equal weight side by side."""
+    width = values.dtype.itemsize
+    return pa.compress(values.view(np.uint8).reshape(-1, width).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _opened(blob: bytes, n: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    data = pa.decompress(blob, n * width, codec="zstd", asbytes=True)
+    return np.frombuffer(data, np.uint8).reshape(width, n).T.copy().view(kind).ravel()
+
+
+def _windows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every byte and end with the ``DEPTH`` bytes before it, and the text number of each."""
+    data, bounds = padded(FOLD[data], bounds, DEPTH)
+    at = np.flatnonzero(inside_texts(bounds, DEPTH + 1))
+    return grams(data, DEPTH + 1)[at], np.searchsorted(bounds, at, "right") - 1
+
+
+def _distinct_windows(table: pa.Table, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct windows of a lot and how often its learning texts hold them."""
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for part in slices(table.to_batches(), text):
+        own, owner = _windows(*flat(part.column(text)))
+        learn = part.column("_learn").to_numpy(zero_copy_only=False)
+        own, back = np.unique(own, return_inverse=True)
+        n = np.bincount(back, weights=learn[owner], minlength=len(own))
+        keys, back = np.unique(np.concatenate((keys, own)), return_inverse=True)
+        counts = np.bincount(back, weights=np.concatenate((counts, n)), minlength=len(keys)).astype(np.int64)
+    return keys, counts
+
+
+def _bucket_order(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of sorted windows bucket by bucket, and where each bucket begins."""
+    bucket = (mix(keys.astype(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1).astype(np.uint64))
+
+
+def _settled_windows(asked: pa.Table) -> pa.Table:
+    """The distinct windows of a bucket and their counts over all lots."""
+    rows = asked.select(["n", "keys", "counts"]).to_pylist()
+    keys, back = np.unique(np.concatenate([np.cumsum(_opened(r["keys"], r["n"], np.int64)) for r in rows]), return_inverse=True)
+    counts = np.concatenate([_opened(r["counts"], r["n"], np.uint32) for r in rows])
+    counts = np.bincount(back, weights=counts, minlength=len(keys)).astype(np.int64)
+    bucket = np.full(len(keys), asked.column("bucket")[0].as_py(), np.int64)
+    return pa.table({"bucket": bucket, "gram": keys, "n": counts})
+
+
+def _answered_windows(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """For each lot that asked a bucket, log10 of the probabilities of its windows' last bytes."""
+    keys = known.column("gram").to_numpy()
+    order = np.argsort(keys)
+    keys, logs = keys[order], known.column("log").to_numpy().astype(np.float32)[order]
+    out = []
+    for row in asked.select(["n", "keys"]).to_pylist():
+        out.append(_squeezed(logs[np.searchsorted(keys, np.cumsum(_opened(row["keys"], row["n"], np.int64)))]))
+    return pa.table({"lot": asked.column("lot"), "bucket": asked.column("bucket"), "n": asked.column("n"), "logs": pa.array(out, pa.binary())})
+
+
+def grow(counts: DataFrame) -> DataFrame:
+    """``(bucket, gram, log)``: log10 of the probability of each window's last byte in the state of what precedes it.
+
+    ``counts`` has ``(bucket, gram, n)`` for all windows to score; ``n`` tells how often it was learned, if at all.
+    """
+    levels = {DEPTH: counts}
+    for depth in range(DEPTH - 1, -1, -1):
         mask = (1 << 8 * (depth + 1)) - 1
-        counts = counts.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-        levels[depth] = counts = materialize(counts, "contexts")
+        shorter = levels[depth + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
+        levels[depth] = materialize(shorter, "contexts")
+    sums = {}
+    for depth in range(DEPTH + 1):
+        grouped = levels[depth].groupBy(F.shiftright("gram", 8).alias("context"))
+        sums[depth] = grouped.agg(F.sum("n").alias("all"), F.sum((F.col("n") > 0).cast("long")).alias("kinds"))
     states: dict[int, DataFrame] = {}
     for depth in range(DEPTH, 0, -1):
-        own = levels[depth].select("gram", F.shiftright("gram", 8).alias("context"), "n")
+        own = levels[depth].where("n > 0").select("gram", F.shiftright("gram", 8).alias("context"), "n")
         above = levels[depth - 1].select(F.col("gram").alias("short"), F.col("n").alias("above"))
-        sums = own.groupBy("context").agg(F.sum("n").alias("all"))
-        sums_above = levels[depth - 1].groupBy(F.shiftright("gram", 8).alias("shorter")).agg(F.sum("n").alias("all_above"))
+        sums_above = sums[depth - 1].select(F.col("context").alias("shorter"), F.col("all").alias("all_above"))
         shorter = F.col("context").bitwiseAND(F.lit((1 << 8 * (depth - 1)) - 1))
-        frequent = sums.where(F.col("all") >= LEAST_SHARE * total)
         paired = (
-            own.join(frequent, "context")
+            own.join(sums[depth].where(F.col("all") >= LEAST), "context")
             .join(above, F.col("gram").bitwiseAND(F.lit((1 << 8 * depth) - 1)) == F.col("short"))
             .join(sums_above, shorter == F.col("shorter"))
         )
@@ -116,14 +123,18 @@ def grow(docs: DataFrame, text: str = "text") -> SuffixTree:
         kept = diverging.select("context")
         if depth < DEPTH:
             kept = kept.union(states[depth + 1].select(F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1)))).distinct()
-        states[depth] = materialize(kept, "states")
-    found = []
-    for depth in range(DEPTH + 1):
-        rows = levels[depth].withColumn("context", F.shiftright("gram", 8))
-        rows = rows.join(states[depth], "context") if depth else rows
-        arrow = rows.select("context", F.col("gram").bitwiseAND(F.lit(255)).alias("next"), "n").toArrow()
-        found.append(tuple(arrow.column(c).to_numpy().astype(np.int64) for c in ("context", "next", "n")))
-    return SuffixTree(found)
+        states[depth] = materialize(kept.join(sums[depth], "context"), "states")
+    root = sums[0].first()
+    total, kinds = (root["all"], max(root["kinds"], 1)) if root else (0, 1)
+    scored = levels[0].select("gram", ((F.col("n") + kinds / 256) / (total + kinds)).alias("p"))
+    for depth in range(1, DEPTH + 1):
+        below = scored.select(F.col("gram").alias("short"), F.col("p").alias("lower"))
+        rows = levels[depth].withColumn("context", F.shiftright("gram", 8)).join(states[depth], "context", "left")
+        rows = rows.join(below, F.col("gram").bitwiseAND(F.lit((1 << 8 * depth) - 1)) == F.col("short"))
+        smoothed = (F.col("n") + F.col("kinds") * F.col("lower")) / (F.col("all") + F.col("kinds"))
+        own = ["bucket"] if depth == DEPTH else []
+        scored = rows.select(*own, "gram", F.coalesce(smoothed, F.col("lower")).alias("p"))
+    return scored.select("bucket", "gram", F.log10("p").alias("log"))
 
 
 def _tokens(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -159,7 +170,6 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
     new = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     names = [c for c in docs.columns if c not in new]
     marked = docs.select(*names, F.col(text).alias("_text"), F.coalesce(learn, F.lit(False)).alias("_learn"))
-    tree = grow(marked.where("_learn"), "_text")
     lots = pack(marked, "_text")
     buckets = bucket_count(lots, BUCKET_BYTES)
     edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
@@ -170,14 +180,14 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
             cuts = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 span = slice(cuts[b], cuts[b + 1])
-                values = [[b], [lot], [keys[span].tobytes()], [counts[span].astype(np.uint32).tobytes()]]
+                values = [[b], [lot], [keys[span].tobytes()], [_squeezed(counts[span].astype(np.uint32))]]
                 kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=["bucket", "lot", "keys", "counts"])
 
     def settle(asked: pa.Table) -> pa.Table:
         lots_here = asked.column("lot").to_pylist()
         keys = [np.frombuffer(k, np.uint64) for k in asked.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in asked.column("counts").to_pylist()])
+        counts = np.concatenate([_opened(c, len(k), np.uint32) for c, k in zip(asked.column("counts").to_pylist(), keys)])
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(back, weights=counts, minlength=len(distinct)).astype(np.int64)
         answers = np.split(sums[back], np.cumsum([len(k) for k in keys])[:-1])
@@ -186,14 +196,32 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
             {
                 "lot": pa.array(lots_here, pa.int64()),
                 "bucket": asked.column("bucket"),
-                "known": pa.array([a.tobytes() for a in answers], pa.binary()),
+                "n": pa.array([len(a) for a in answers], pa.int64()),
+                "known": pa.array([_squeezed(a) for a in answers], pa.binary()),
                 "tokens": pa.array([int(sums.sum()), *rest], pa.int64()),
                 "kinds": pa.array([int((sums > 0).sum()), *rest], pa.int64()),
             }
         )
 
+    def ask_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lot, rows in opened(batches):
+            keys, counts = _distinct_windows(rows, "_text")
+            order, cuts = _bucket_order(keys, buckets)
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                own = order[cuts[b] : cuts[b + 1]]
+                blobs = _squeezed(np.diff(keys[own], prepend=0)), _squeezed(counts[own].astype(np.uint32))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                values = zip((b, lot, len(own), *blobs), kinds)
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in values], names=["bucket", "lot", "n", "keys", "counts"])
+
+    windows = materialize(lots.mapInArrow(ask_windows, "bucket long, lot long, n long, keys binary, counts binary"), "windows")
+    counts = windows.groupBy("bucket").applyInArrow(_settled_windows, "bucket long, gram long, n long")
+    grown = grow(materialize(counts, "contexts"))
+    logs = windows.drop("counts").groupBy("bucket").cogroup(grown.groupBy("bucket"))
+    logs = logs.applyInArrow(_answered_windows, "lot long, bucket long, n long, logs binary")
+
     asked = lots.mapInArrow(ask, "bucket long, lot long, keys binary, counts binary")
-    answers = asked.groupBy("bucket").applyInArrow(settle, "lot long, bucket long, known binary, tokens long, kinds long")
+    answers = asked.groupBy("bucket").applyInArrow(settle, "lot long, bucket long, n long, known binary, tokens long, kinds long")
     answers = materialize(answers, "token-counts")
     totals = answers.agg(F.sum("tokens"), F.sum("kinds")).first()
     tokens, kinds = totals[0] or 0, totals[1] or 0
@@ -203,22 +231,34 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
     def scored(packed: pa.Table, known: pa.Table) -> pa.Table:
         rows = from_blob(packed.column("blob")[0].as_buffer())
         keys, _ = _distinct(rows, "_text")
-        order = np.argsort(known.column("bucket").to_numpy())
-        parts = known.column("known").to_pylist()
-        counts = np.concatenate([np.frombuffer(parts[i], np.int64) for i in order])
+        windows, _ = _distinct_windows(rows, "_text")
+        known = known.sort_by("bucket")
+
+        def answers(column: str, kind: type) -> np.ndarray:
+            own = known.filter(known.column(column).is_valid())
+            return np.concatenate([_opened(v, n, kind) for v, n in zip(own.column(column).to_pylist(), own.column("n").to_pylist())])
+
+        counts = answers("known", np.int64)
         logs = np.log10((counts + 1) / (tokens + kinds + 1))
+        order, _ = _bucket_order(windows, buckets)
+        window_logs = np.zeros(len(windows), np.float32)
+        window_logs[order] = answers("logs", np.float32)
         out = []
         for part in slices(rows.to_batches(), "_text"):
             data, bounds, hashes, owner = _tokens(part, "_text")
             texts, at = len(bounds) - 1, np.searchsorted(keys, hashes)
+            own, of_text = _windows(data, bounds)
+            own, back = np.unique(own, return_inverse=True)
+            score = np.bincount(of_text, weights=window_logs[np.searchsorted(windows, own)][back], minlength=texts)
             columns = [
                 pa.array(per_text(np.ones(len(owner)), owner, texts)),
                 pa.array(per_text(counts[at] > 0, owner, texts)),
                 pa.array(np.full(texts, tokens, np.int64)),
                 pa.array(np.bincount(owner, weights=logs[at], minlength=texts)),
-                pa.array(tree.score(data, bounds)),
+                pa.array(score),
             ]
             out.append(pa.RecordBatch.from_arrays([*part.columns[:-2], *columns], names=[*part.schema.names[:-2], *new]))
         return pa.Table.from_batches(out)
 
+    answers = answers.select("lot", "bucket", "n", "known").unionByName(logs, allowMissingColumns=True)
     return lots.groupBy("lot").cogroup(answers.groupBy("lot")).applyInArrow(scored, schema)

@@ -370,3 +370,45 @@ def test_contaminated_finds_what_brute_force_finds(spark, words):
     assert want[0] <= got
     for percent, found in want.items():
         assert len(found) >= 55 and len(found & got) >= (0.95 if percent < 20 else 0.9) * len(found)
+
+
+def test_score_texts_keeps_a_rare_language_in_a_large_corpus(spark):
+    draw = random.Random(15)
+    rare = ["".join(draw.choice("ghkmp") for _ in range(5)) for _ in range(6)]
+    texts = [" ".join(draw.choice(rare) for _ in range(40)) for _ in range(8)]
+    texts += ["ab " * 700_000] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    small, large = (
+        {r.doc_id: r.score for r in score_texts(part, F.col("doc_id") != 0).collect()} for part in (docs.where("doc_id < 8"), docs)
+    )
+    assert abs(large[0] - small[0]) < 0.02 * len(texts[0])
+
+
+def test_score_texts_equals_a_plain_suffix_tree(docs, rows):
+    fold = bytes.maketrans(b"\t\n\v\f\r" + bytes(range(65, 91)), b"     " + bytes(range(97, 123)))
+    padded = {r[0]: bytes(5) + (r[1] or "").encode().translate(fold) + b"\0" for r in rows}
+    nexts: dict[bytes, collections.Counter] = collections.defaultdict(collections.Counter)
+    for r in rows:
+        text = padded[r[0]]
+        for i in range(5, len(text)) if r[0] % 3 else ():
+            for depth in range(6):
+                nexts[text[i - depth : i]][text[i]] += 1
+
+    def diverges(context):
+        own, above = nexts[context], nexts[context[1:]]
+        n, n_above = sum(own.values()), sum(above.values())
+        return n >= 32 and sum(c / n * math.log(c / n * n_above / above[b]) for b, c in own.items()) >= 0.01
+
+    states = {context[k:] for context in list(nexts) if context and diverges(context) for k in range(len(context))} | {b""}
+
+    def probability(context, letter):
+        lower = probability(context[1:], letter) if context else 1 / 256
+        if context not in states:
+            return lower
+        kinds, n = len(nexts[context]), sum(nexts[context].values())
+        return (nexts[context][letter] + kinds * lower) / (n + kinds)
+
+    for r in score_texts(docs, F.col("doc_id") % 3 != 0).collect():
+        text = padded[r.doc_id]
+        want = sum(math.log10(probability(text[i - 5 : i], text[i])) for i in range(5, len(text)))
+        assert math.isclose(r.score, want, rel_tol=1e-5)
