@@ -150,7 +150,7 @@ class Items:
     def __init__(self, ids: list, texts: list[bytes], percent: int):
         self.ids, self.texts = ids, texts
         self.sizes = np.array([len(t) for t in texts], np.int64)
-        self.allowed = self.sizes * (100 - percent) // 100
+        self.allowed = np.where(self.sizes < SHORTEST, 0, self.sizes * (100 - percent) // 100)
         rate = (100 - percent) / 100
         self.slack = np.where(self.sizes <= PART, self.allowed, 16)
         self.most = np.where(self.sizes <= PART, self.allowed, int(PART * rate + 3 * (PART * rate * (1 - rate)) ** 0.5))
@@ -283,6 +283,12 @@ class Items:
             yield tuple(held)
 
 
+def _apart(pattern: bytes, data: np.ndarray, at: int, low: int, high: int) -> bool:
+    """Whether no word goes on beyond an ASCII edge of the pattern at a place in a text."""
+    before = at == low or data[at - 1] == 32 or pattern[0] >= 128
+    return before and (at + len(pattern) >= high or data[at + len(pattern)] == 32 or pattern[-1] >= 128)
+
+
 def _verified(items: Items, data: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
     """The best match of each text and item: edits, start and end."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -293,9 +299,13 @@ def _verified(items: Items, data: np.ndarray, bounds: np.ndarray) -> dict[tuple[
             continue
         window = data[begin:stop].tobytes()
         exact = window.find(pattern)
+        while len(pattern) < SHORTEST and exact >= 0 and not _apart(pattern, data, begin + exact, bounds[text], bounds[text + 1]):
+            exact = window.find(pattern, exact + 1)
         if exact >= 0:
             best[text, item] = (0, begin + exact, begin + exact + len(pattern))
             continue
+        if len(pattern) < SHORTEST:
+            continue
         edits, end = best_part(pattern, window)
         if edits <= items.allowed[item] and (held is None or edits < held[0]):
             _, length = best_part(pattern[::-1], window[:end][::-1])
@@ -310,7 +320,7 @@ def contaminated(
 
     A text holds an item if some part of it is at an edit distance of at most ``100 - percent`` percent of the item's
     normalised length. ``start`` and ``end`` are byte offsets in the text as it is. Null texts and items hold nothing; items
-    of fewer than ``SHORTEST`` normalised bytes are not looked for. Repeated rows give repeated rows. The items are taken in
+    of fewer than ``SHORTEST`` normalised bytes are held by exact copies that are not part of a longer ASCII word. Repeated rows give repeated rows. The items are taken in
     blocks of about ``BLOCK_BYTES``, each against all texts.
     """
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -331,7 +341,7 @@ def _search(source: DataFrame, rows: pa.Table, percent: int, schema: str) -> Dat
     data, bounds, _ = normalised(*flat(rows.column("text").combine_chunks()))
     texts = [data[a:b].tobytes().rstrip(b" ") for a, b in zip(bounds[:-1], bounds[1:])]
     ids = rows.column("item")
-    chosen = [i for i, t in enumerate(texts) if len(t) >= SHORTEST]
+    chosen = [i for i, t in enumerate(texts) if t]
     items = Items([ids[i].as_py() for i in chosen], [texts[i] for i in chosen], percent)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

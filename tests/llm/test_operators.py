@@ -412,3 +412,15 @@ def test_score_texts_equals_a_plain_suffix_tree(docs, rows):
         text = padded[r.doc_id]
         want = sum(math.log10(probability(text[i - 5 : i], text[i])) for i in range(5, len(text)))
         assert math.isclose(r.score, want, rel_tol=1e-5)
+
+
+def test_contaminated_without_word_starts_and_short_items(spark):
+    draw = random.Random(16)
+    signs = [chr(c) for c in range(0x4E00, 0x4F00)]
+    passage = "".join(draw.choice(signs) for _ in range(30))
+    around = "".join(draw.choice(signs) for _ in range(80))
+    texts = [(0, f"{around}{passage}{around}"), (1, around), (2, "so Q, z it is"), (3, "faq zoo"), (4, f"{around}豆腐{around}"), (5, None)]
+    items = [(0, passage), (1, "q z"), (2, "豆腐"), (3, ""), (4, "?")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.edits) for r in found} == {(0, 0, 0), (2, 1, 0), (4, 2, 0)}
