@@ -12,6 +12,7 @@ from logstrata import configure
 from logstrata.llm import bpe, language_codes, license_scan, suffix_dedup, toxicity_cnn
 from logstrata.llm.decontamination import contaminated
 from logstrata.llm.histogram_shards import histogram_shards
+from logstrata.llm.lexical_search import search
 from logstrata.llm.minhash_dedup import near_duplicates
 from logstrata.llm.perplexity_rules import STATISTICS, quality_rules
 from logstrata.llm.suffix_tree import score_texts
@@ -96,6 +97,32 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+# Every item's terms against every document's, all scored.
+ORACLES["op13_lexical_search"] = r"""
+with d as (
+  select row_number() over () as doc, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+  from documents where text is not null),
+q as (
+  select row_number() over () as item, item_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+  from benchmark where text is not null),
+size as (select count(*)::bigint as n, sum(len(t))::bigint as l from d where len(t) > 0),
+postings as (select doc, doc_id, term, count(*)::bigint as tf, any_value(n) as n from (select doc, doc_id, len(t) as n, unnest(t) as term from d) group by doc, doc_id, term),
+weights as (select term, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::bigint as w from (select term from postings), size group by term, n),
+asked as (select item, item_id, term, count(*)::bigint as r from (select item, item_id, unnest(t) as term from q) group by all),
+scored as (
+  select item, item_id, doc, doc_id, sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * p.n * size.n) // size.l))))::bigint as score
+  from asked join postings p using (term) join weights using (term), size group by all),
+ranked as (select *, row_number() over (partition by item order by score desc, doc_id) as place from scored where score > 0)
+select item_id, place::int as rank, doc_id, score from ranked where place <= 20
+"""
+
 # Full sets against full sets, then everything reachable over links.
 ORACLES["op1_minhash_dedup"] = r"""
 with recursive w as (
