@@ -15,6 +15,7 @@ from logstrata.llm.histogram_shards import histogram_shards
 from logstrata.llm.lexical_search import search
 from logstrata.llm.minhash_dedup import near_duplicates
 from logstrata.llm.perplexity_rules import STATISTICS, quality_rules
+from logstrata.llm.spelling_variants import spelling_variants
 from logstrata.llm.suffix_tree import score_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +98,50 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+# Runs with their checksums, then words that agree but for one place or one left out.
+ORACLES["op12_spelling_variants"] = r"""
+with recursive bits as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by i) as tab
+  from range(256) t(i)),
+runs as (
+  select doc_id, run, count(*) as n from (
+    select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{6,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from documents) group by doc_id, run),
+coded as (select *, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as h from runs),
+hashed as (
+  select run, n, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(1, len(h), 2), lambda i: ('0x' || substr(h, i, 2))::bigint)),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) as h
+  from coded, bits),
+words as (
+  select word, sum(n)::bigint as n from (
+    select n, case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, (h % length(run))::bigint + 2) else run end as word from hashed)
+  where length(word) >= 6 group by word having sum(n) >= 5),
+places as (select word, unnest(range(1, length(word) + 1)) as i from words),
+holes as (select word, substr(word, 1, i - 1) || '?' || substr(word, i + 1) as hole, substr(word, 1, i - 1) || substr(word, i + 1) as less from places),
+near as (
+  select a.word as a, b.word as b from holes a join holes b using (hole) where a.word <> b.word
+  union select h.word, w.word from holes h join words w on h.less = w.word
+  union select w.word, h.word from holes h join words w on h.less = w.word),
+best as (
+  select a as word, count(*) as n_near, arg_min(b, (-n, b)) as form, max(n) as form_n
+  from near join (select word as b, n from words) using (b) group by a),
+judged as (
+  select word, n, coalesce(n_near, 0) as n_near, case when b.form_n >= 5 * n then b.form end as form, case when b.form_n >= 5 * n then b.form_n end as form_n
+  from words left join best b using (word)),
+follow as (
+  select word, word as at from judged
+  union all select f.word, j.form from follow f join judged j on j.word = f.at where j.form is not null)
+select j.word, j.form, f.at as root, j.n, j.n_near, j.form_n
+from judged j join follow f using (word) join judged last on last.word = f.at where last.form is null
+"""
+
+
 @query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
