@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata import configure
-from logstrata.llm import bpe, language_codes, license_scan, suffix_dedup, toxicity_cnn
+from logstrata.llm import bpe, forced_bpe, language_codes, license_scan, suffix_dedup, toxicity_cnn
 from logstrata.llm.decontamination import contaminated
 from logstrata.llm.histogram_shards import histogram_shards
 from logstrata.llm.lexical_search import search
@@ -98,6 +98,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return forced_bpe.encode(table(spark, sf_dir, "documents"), path, carry=["doc_id"], content=False)
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
