@@ -68,6 +68,41 @@ WINDOWS_EVENT = (
     "case when event_id % 60 = 0 then 'invalid chunk' else concat('{\"Event\":{\"System\":{\"EventID\":', cast(event_id % 90 as string), "
     "',\"EventRecordID\":', cast(5000000000 + event_id as string), '},\"EventData\":{\"User\":\"u', cast(user_id as string), '\"}}}') end"
 )
+# A day's worth of formats: six kinds of sources tell the same instant in their own way.
+START_MS = 1730419200000  # 2024-11-01
+_AT = f"({START_MS} + (event_id * 13337 + (event_id % 7) * 61000 + cast(floor(event_id / 50) as bigint) * 60000000) % 2419200000)"
+_TIME_KIND = "user_id % 6"
+
+
+def _digits(ms: str, unit: int, count: int, width: int, first: int = 0) -> str:
+    """One part of the clock or calendar, in so many digits."""
+    return f"lpad(cast(cast(floor(({ms} - {START_MS}) / {unit}) as bigint) % {count} + {first} as string), {width}, '0')"
+
+
+def _clock(ms: str) -> str:
+    return f"{_digits(ms, 3600000, 24, 2)}, ':', {_digits(ms, 60000, 60, 2)}, ':', {_digits(ms, 1000, 60, 2)}"
+
+
+def _day(ms: str) -> str:
+    return _digits(ms, 86400000, 100, 2, 1)
+
+
+_LATER = f"({_AT} + 7200000)"
+_MILLIS = _digits(_AT, 1, 1000, 3)
+_AUDIT_REST = "cast(event_id as string), ') : pid=', cast(user_id as string))"
+# Every 97th line tells no time; some sources hold lines in another format, or a decoy.
+TIMED_LINE = (
+    f"case when event_id % 97 = 0 then concat('no time here ', cast(event_id as string)) "
+    f"when {_TIME_KIND} = 0 and event_id % 40 <> 3 then concat('type=SYSCALL msg=audit(', cast(cast(floor({_AT} / 1000) as bigint) as string), '.', {_MILLIS}, ':', "
+    "cast(event_id as string), '): note=\"2001-02-03 04:05:06\" pid=', cast(user_id as string)) "
+    f"when {_TIME_KIND} = 0 or {_TIME_KIND} = 1 then concat('type=LOGIN msg=audit(11/', {_day(_AT)}, '/2024 ', {_clock(_AT)}, '.', {_MILLIS}, ':', {_AUDIT_REST} "
+    f"when {_TIME_KIND} = 2 then concat('type=LOGIN msg=audit(', {_day(_AT)}, '/11/2024 ', {_clock(_AT)}, ':', {_AUDIT_REST} "
+    f"when {_TIME_KIND} = 3 then concat('10.0.0.1 - u', cast(user_id as string), ' [', {_day(_LATER)}, '/Nov/2024:', {_clock(_LATER)}, ' +0200] \"GET /', event_type, ' HTTP/1.1\" 200 5 \"-\" \"-\"') "
+    f"when {_TIME_KIND} = 4 and event_id % 3 = 0 then concat('{{\"eventTime\": \"2024-11-', {_day(_LATER)}, 'T', {_clock(_LATER)}, '.', {_MILLIS}, '0009+02:00\", \"id\": ', cast(event_id as string), '}}') "
+    f"when {_TIME_KIND} = 4 then concat('{{\"eventTime\": \"2024-11-', {_day(_AT)}, 'T', {_clock(_AT)}, case when event_id % 3 = 1 then 'Z' else '' end, '\", \"id\": ', cast(event_id as string), '}}') "
+    f"else concat('{{\"FileTime\": ', cast(116444736000000000 + {_AT} * 10000 as string), case when event_id % 5 = 0 then ', \"seen\": \"2020-01-01T00:00:00Z\"' else '' end, '}}') end"
+)
+HOSTS = 24
 # Rows 400 apart end up in one file, so the bucket number decides what a file holds.
 _ARCHIVE_KIND = f"{_BUCKET} % 4"
 _HOST_KIND = f"{_BUCKET} % 8"
@@ -146,6 +181,32 @@ CORPORA: dict[str, tuple[str, dict[str, str]]] = {
         "events",
         {"path": f"concat('cat', {_s(_BUCKET + ' % 5')}, '/s', {_s(_BUCKET)}, '.evtx')", "seq": "event_id", "line": WINDOWS_EVENT},
     ),
+    "timed_lines": (
+        "events",
+        {"path": f"concat('host', cast(user_id % {HOSTS} as string), '/', cast({_TIME_KIND} as string))", "seq": "event_id", "line": TIMED_LINE},
+    ),
+    # From a minute to the whole time; every 16th ends before it begins.
+    "attack_windows": (
+        "supplier",
+        {
+            "window_id": "s_suppkey",
+            "host": f"concat('host', cast(s_suppkey % {HOSTS} as string))",
+            "technique": "concat('T', cast(1000 + s_nationkey as string))",
+            "start_us": f"({START_MS} + (s_suppkey * 7919 * 1000) % 1209600000) * 1000",
+            "end_us": f"({START_MS} + (s_suppkey * 7919 * 1000) % 1209600000 + case when s_suppkey % 100 = 7 then 2419200000 "
+            "when s_suppkey % 16 = 3 then 0 when s_suppkey % 7 = 0 then 86400000 when s_suppkey % 2 = 0 then 3600000 else 60000 end) * 1000",
+        },
+    ),
+    # Versions of what is known about a host; some appear at the same instant.
+    "host_versions": (
+        "part",
+        {
+            "host": f"concat('host', cast(p_partkey % {HOSTS - 1} as string))",
+            "since_us": f"({START_MS} + 3600000 + (cast(floor(p_partkey / {HOSTS - 1}) as bigint) % 60 * 7200000)) * 1000",
+            "version": "p_partkey",
+            "license": "concat('L', cast(p_size as string))",
+        },
+    ),
     "host_paths": (
         "part",
         {

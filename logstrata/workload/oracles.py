@@ -552,3 +552,97 @@ check(
     "host_rows",
     **_HOSTS,
 )
+
+# --- time -----------------------------------------------------------------------------
+
+_ISO = r"(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(?:[.,](\d{1,9}))?(?:Z|([+-]\d{2}):?(\d{2}))?"
+_HTTP = r"\[(\d{1,2}/[A-Z][a-z]{2}/\d{4}:\d{2}:\d{2}:\d{2}) ([+-]\d{2})(\d{2})\]"
+_AUDIT = r"msg=audit\((\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:\d{2})(?:\.(\d{1,6}))?:\d+\)"
+_EPOCH = r"msg=audit\((\d{9,11})(?:\.(\d{1,6}))?:\d+\)"
+
+
+def _part(regex: str, group: int) -> str:
+    return f"regexp_extract(line, '{regex}', {group})"
+
+
+def _fraction(regex: str, group: int) -> str:
+    return f"coalesce(try_cast(rpad(left({_part(regex, group)}, 6), 6, '0') as bigint), 0)"
+
+
+def _zone(regex: str, hours: int) -> str:
+    minutes = f"coalesce(try_cast({_part(regex, hours + 1)} as bigint), 0)"
+    return f"(coalesce(try_cast({_part(regex, hours)} as bigint), 0) * 60 + case when {_part(regex, hours)} like '-%' then -{minutes} else {minutes} end) * 60000000"
+
+
+def _stamp(text: str, layout: str) -> str:
+    return f"epoch_us(try_strptime({text}, '{layout}'))"
+
+
+_TIMED = {
+    "audit_epoch": f"try_cast({_part(_EPOCH, 1)} as bigint) * 1000000 + {_fraction(_EPOCH, 2)}",
+    "httpdate": f"{_stamp(_part(_HTTP, 1), '%d/%b/%Y:%H:%M:%S')} - {_zone(_HTTP, 2)}",
+    "filetime": r"(try_cast(regexp_extract(line, '(?:^|[^\d.])(1[1-9]\d{16})(?:[^\d.]|$)', 1) as bigint) - 116444736000000000) // 10",
+    "iso": f"{_stamp(f"concat({_part(_ISO, 1)}, ' ', {_part(_ISO, 2)})", '%Y-%m-%d %H:%M:%S')} + {_fraction(_ISO, 3)} - {_zone(_ISO, 4)}",
+    "month_first": f"{_stamp(_part(_AUDIT, 1), '%m/%d/%Y %H:%M:%S')} + {_fraction(_AUDIT, 2)}",
+    "day_first": f"{_stamp(_part(_AUDIT, 1), '%d/%m/%Y %H:%M:%S')} + {_fraction(_AUDIT, 2)}",
+}
+TIMED_VIEWS = {
+    "read_as": "select *, " + ", ".join(f"{e} as {n}" for n, e in _TIMED.items()) + " from timed_lines",
+    "votes": "select path, " + ", ".join(f"count({n}) as {n}" for n in _TIMED) + " from read_as group by path",
+    # One row for each format a line can be read in, the readings of a numeric date only if they won.
+    "readings": " union all ".join(
+        f"select r.path, r.seq, r.line, '{n}' as format, r.{n} as us, v.{n} as n, {i} as place from read_as r join votes v using (path) where r.{n} is not null"
+        + {"month_first": " and v.month_first >= v.day_first", "day_first": " and v.day_first > v.month_first"}.get(n, "")
+        for i, n in enumerate(_TIMED)
+    ),
+    "chosen": "select path, seq, arg_max(format, (n, -place)) as time_format, arg_max(us, (n, -place)) as event_us from readings group by path, seq",
+    "timed": "select l.path, split_part(l.path, '/', 1) as host, l.seq, l.line, c.time_format, c.event_us from timed_lines l left join chosen c on c.path = l.path and c.seq = l.seq",
+}
+
+check(
+    "event_time",
+    "select path, seq, time_format, event_us, case when time_format is null then 'no time of a known format' end as time_problem from timed",
+    "timed_lines",
+    **TIMED_VIEWS,
+)
+check(
+    "interval_label_join",
+    "select path, seq, event_us, window_id, technique from timed t join attack_windows w on t.host = w.host and w.start_us <= t.event_us and t.event_us < w.end_us",
+    "timed_lines",
+    "attack_windows",
+    **TIMED_VIEWS,
+)
+check(
+    "asof_manifest",
+    """select t.host, t.path, t.seq, t.event_us, max(v.since_us) as since_us, arg_max(v.version, (v.since_us, v.version)) as version,
+       arg_max(v.license, (v.since_us, v.version)) as license
+       from timed t left join host_versions v on v.host = t.host and v.since_us <= t.event_us group by all""",
+    "timed_lines",
+    "host_versions",
+    **TIMED_VIEWS,
+)
+check(
+    "host_sessions",
+    """select host, session, min(event_us) as start, max(event_us) as "end", count(*) as rows, sum(octets)::bigint as sum_octets from counted group by host, session""",
+    "timed_lines",
+    **TIMED_VIEWS,
+    opened="""select host, event_us, strlen(line) as octets,
+      case when event_us - lag(event_us) over (partition by host order by event_us) > 900000000 then 1 else 0 end as opens from timed where event_us is not null""",
+    counted="select *, cast(sum(opens) over (partition by host order by event_us range between unbounded preceding and current row) as bigint) as session from opened",
+)
+
+
+def _window_check(name: str, size: int, slide: int) -> None:
+    hour = 3_600_000_000
+    check(
+        name,
+        f"""select host, start, count(*) as rows, sum(strlen(line))::bigint as sum, min(strlen(line)) as least, max(strlen(line)) as most
+            from (select host, line, unnest(range(event_us // {slide * hour} * {slide * hour}, event_us - {size * hour}, {-slide * hour})) as start
+                  from timed where event_us is not null) group by host, start""",
+        "timed_lines",
+        **TIMED_VIEWS,
+    )
+
+
+_window_check("tumbling_windows", 6, 6)
+_window_check("sliding_windows", 24, 3)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata.functions import jsontext, kv, pytext, xmltext
-from logstrata.operators import catalog, classify, corpus, formats, framing, ordering, shards
+from logstrata.operators import catalog, classify, corpus, eventtime, formats, framing, ordering, sessions, shards, timejoins
 from logstrata.plans import datasets
 from logstrata.plans.ingest import parse_new
 from logstrata.plans.payloads import RowPayload
@@ -607,6 +607,64 @@ def resolve_records(spark, sf_dir):
     return found.select("path", "record_ref", F.get_json_object("record_json", "$.audit_id").alias("audit_id"))
 
 
+# --- time -----------------------------------------------------------------------------
+
+
+def timed_events(spark, sf_dir) -> DataFrame:
+    """Lines of six kinds of sources with the instant each tells, and their host."""
+    timed = eventtime.event_times(lines_of(spark, sf_dir, "timed_lines"))
+    return timed.withColumn("host", F.substring_index("path", "/", 1))
+
+
+@query
+def event_time(spark, sf_dir):
+    timed = timed_events(spark, sf_dir)
+    return timed.select("path", "seq", "time_format", F.unix_micros("event_time").alias("event_us"), "time_problem")
+
+
+@query
+def interval_label_join(spark, sf_dir):
+    """Events inside the attack windows of their host."""
+    events = timed_events(spark, sf_dir).select("host", "path", "seq", "event_time")
+    windows = corpora.corpus(spark, sf_dir, "attack_windows")
+    windows = windows.select("host", "window_id", "technique", *[F.timestamp_micros(f"{c}_us").alias(c) for c in ("start", "end")])
+    held = timejoins.interval_join(events, windows, "event_time", "start", "end", on=["host"])
+    return held.select("path", "seq", F.unix_micros("event_time").alias("event_us"), "window_id", "technique")
+
+
+@query
+def asof_manifest(spark, sf_dir):
+    """Every event with the catalogue version that was valid for its host."""
+    events = timed_events(spark, sf_dir).select("host", "path", "seq", F.unix_micros("event_time").alias("event_us"))
+    versions = corpora.corpus(spark, sf_dir, "host_versions")
+    return timejoins.asof_join(events, versions, "event_us", "since_us", on=["host"])
+
+
+HOUR = 3_600_000_000
+
+
+@query
+def host_sessions(spark, sf_dir):
+    events = timed_events(spark, sf_dir).select("host", "event_time", F.octet_length("line").cast("bigint").alias("octets"))
+    return sessions.sessions(events, ["host"], "event_time", HOUR // 4, sums=["octets"])
+
+
+def _windows(spark, sf_dir, size: int, slide: int) -> DataFrame:
+    events = timed_events(spark, sf_dir).select("host", "event_time", F.octet_length("line").cast("bigint").alias("octets"))
+    parts = sessions.panes(events, ["host"], "event_time", HOUR, "octets")
+    return sessions.windows_of_panes(parts, ["host"], HOUR, size, slide)
+
+
+@query
+def tumbling_windows(spark, sf_dir):
+    return _windows(spark, sf_dir, 6 * HOUR, 6 * HOUR)
+
+
+@query
+def sliding_windows(spark, sf_dir):
+    return _windows(spark, sf_dir, 24 * HOUR, 3 * HOUR)
+
+
 # --- whole datasets -------------------------------------------------------------------
 
 
