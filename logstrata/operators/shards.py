@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logstrata.functions import jsontext
+from logstrata.functions import jsontext, pytext
+from logstrata.operators.framing import line_offsets
 from logstrata.operators.ordering import ordered_prefix
 
 SHARD_SIZE = 10_000
@@ -104,3 +105,37 @@ def write_shards(sharded: DataFrame, path: str) -> None:
         .write.partitionBy("shard_id")
         .text(path)
     )
+
+
+def write_corpus(sharded: DataFrame, dictionary: DataFrame, path: str) -> None:
+    """Shard files, their index and the dictionary of sources below one folder."""
+    write_shards(sharded, f"{path}/shards")
+    shard_index(sharded, dictionary).write.parquet(f"{path}/index")
+    dictionary.write.parquet(f"{path}/source_ids")
+
+
+def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """``(idx, shard_name, offset, line, source_id, record_ref)`` of a written corpus, in terms of its files.
+
+    Offsets are counted anew from the bytes of the shard files and meet those of the index, ids meet the dictionary. A line
+    without an index entry, an entry without a line and an id without a name are errors.
+    """
+    text = spark.read.option("lineSep", "\n").text(f"{path}/shards")
+    rows = text.select(
+        "shard_id", F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
+    )
+    lines = line_offsets(rows).select("shard_id", F.col("byte_offset").alias("offset"), "line")
+    index, names = spark.read.parquet(f"{path}/index"), spark.read.parquet(f"{path}/source_ids")
+    named = index.join(names.withColumnRenamed("source_id", "name"), F.col("source_id") == F.col("id"), "left")
+    met = lines.join(named, ["shard_id", "offset"], "full")
+    place = F.concat_ws(" ", F.lit("in shard"), "shard_id", F.lit("at"), "offset")
+    problem = (
+        F.when(F.col("idx").isNull(), F.concat(F.lit("no index entry "), place))
+        .when(F.col("line").isNull(), F.concat(F.lit("no line "), place))
+        .when(F.col("name").isNull(), F.concat(F.lit("no source name "), place))
+    )
+    return met.select(
+        "idx", pytext.shard_name(F.col("shard_id")).alias("shard_name"), "offset",
+        F.when(problem.isNull(), F.col("line")).otherwise(F.raise_error(problem)).alias("line"), F.col("name").alias("source_id"), "record_ref",
+    )

@@ -437,7 +437,8 @@ check(
 check(
     "shard_write",
     """select lpad(cast(shard_id as varchar), 5, '0') || '.jsonl' as shard_name, count(*) as records, cast(sum(strlen(text) + 1) as bigint) as bytes,
-       arg_min(text, idx) as first_line, arg_max(text, idx) as last_line from placed group by shard_id""",
+       arg_min(text, idx) as first_line, arg_max(text, idx) as last_line, count(distinct path) as sources, 'logs/' || arg_max(path, idx) as last_source
+       from placed group by shard_id""",
     *_BOTH,
     **_LOGS,
 )
@@ -646,3 +647,62 @@ def _window_check(name: str, size: int, slide: int) -> None:
 
 _window_check("tumbling_windows", 6, 6)
 _window_check("sliding_windows", 24, 3)
+
+# --- what is in a corpus --------------------------------------------------------------
+
+_LEAVES = {
+    "framed_json": framed("json_lines"),
+    "framed_audit": framed("audit_lines"),
+    "records": f"""select 'json' as dataset, path, record_ref, trim(line) as record from framed_json where json_valid(line) and line like '{{%'
+      union all select 'auditd', path, record_ref, {AUDIT_JSON} from framed_audit where line <> ''""",
+    "leaves": r"""select dataset, records.path, record_ref, regexp_replace(regexp_replace(replace(t.fullkey, '"', ''), '^\$\.?', ''), '\[\d+\]', '[]', 'g') as field,
+      t.type as kind, case when t.type not in ('ARRAY', 'OBJECT') then t.atom::varchar end as value
+      from records, json_tree(records.record::json) t where t.fullkey <> '$'""",
+}
+_KIND = "case kind when 'NULL' then 'null' when 'BOOLEAN' then 'boolean' when 'UBIGINT' then 'integer' when 'BIGINT' then 'integer' when 'DOUBLE' then 'double' when 'VARCHAR' then 'string' when 'ARRAY' then 'array' else 'object' end"
+check(
+    "structure_profile",
+    """select dataset, path, field, case when len(kinds) = 0 then 'null' when len(kinds) = 1 then kinds[1] when kinds = ['double', 'integer'] then 'number' else 'mixed' end as type,
+       nullable, records < total as optional, records, occurrences, longest
+       from profiled join totals using (dataset, path)""",
+    "json_lines",
+    "audit_lines",
+    **_LEAVES,
+    totals="select dataset, path, count(*) as total from records group by all",
+    profiled=f"""select dataset, path, field, list_sort(list(distinct {_KIND}) filter (where kind <> 'NULL')) as kinds, bool_or(kind = 'NULL') as nullable,
+      count(distinct record_ref) as records, count(*) as occurrences, max(length(value)) as longest from leaves group by dataset, path, field""",
+)
+check(
+    "top_fields",
+    "select dataset, field, rank, value, n from ranked where rank <= 5",
+    "json_lines",
+    "audit_lines",
+    **_LEAVES,
+    counted="select dataset, field, value, count(*) as n from leaves where value is not null group by all",
+    ranked="select *, cast(row_number() over (partition by dataset, field order by n desc, value) as int) as rank from counted",
+)
+check(
+    "corpus_diff",
+    """select path, record_ref, record_json, sum(l)::bigint as n_left, sum(r)::bigint as n_right from both_runs group by all having sum(l) <> sum(r)""",
+    "json_lines",
+    framed=framed("json_lines"),
+    first_run="select path, record_ref, trim(line) as record_json from framed where json_valid(line) and line like '{%'",
+    later_run="""select path, record_ref, case when record_ref % 1009 = 5 then replace(record_json, 'a:b', 'b:a') else record_json end as record_json
+      from first_run where record_ref % 997 <> 3""",
+    both_runs="""select *, 1 as l, 0 as r from first_run union all select *, 0, 1 from later_run
+      union all select *, 0, 1 from later_run where record_ref % 1013 = 7""",
+)
+_CATALOGUED = "select split_part(file_name, '/', 1) as source, split_part(file_name, '/', 2) as file, ord % 3 = 0 as labeled, strlen(content) as bytes, sha256(content) as checksum from doc_files"
+check(
+    "manifest_cube",
+    """select source, file, labeled, cast(grouping(source, file, labeled) as int) as "grouping", count(*) as rows, sum(bytes)::bigint as sum_bytes,
+       count(distinct checksum) as distinct_checksum from catalogued group by cube (source, file, labeled)""",
+    "doc_files",
+    catalogued=_CATALOGUED,
+)
+check(
+    "manifest_sketch",
+    """select source, file, cast(grouping(source, file) as int) as "grouping", count(*) as rows, true as within from catalogued group by rollup (source, file)""",
+    "doc_files",
+    catalogued=_CATALOGUED,
+)

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata.functions import jsontext, kv, pytext, xmltext
-from logstrata.operators import catalog, classify, corpus, eventtime, formats, framing, ordering, sessions, shards, timejoins
+from logstrata.operators import catalog, classify, corpus, cubes, difference, eventtime, formats, framing, ordering, profile, sessions, shards, timejoins
 from logstrata.plans import datasets
 from logstrata.plans.ingest import parse_new
 from logstrata.plans.payloads import RowPayload
-from logstrata.session import configure, materialize
+from logstrata.session import configure, materialize, scratch_path
 from logstrata.sources import archives, catalogs, files
 from logstrata.workload import corpora, packing
 
@@ -549,13 +549,21 @@ def source_dictionary(spark, sf_dir):
 
 @query
 def shard_write(spark, sf_dir):
-    """Shard files as they would be written: their names, records, sizes and first lines."""
-    sharded = sharded_records(spark, sf_dir)
-    return sharded.groupBy(pytext.shard_name(F.col("shard_id")).alias("shard_name")).agg(
+    """Shard files written and read back: what the index says lies at each offset, by the bytes of the files.
+
+    A line is found by its place in the file; index and dictionary tell which record it is.
+    """
+    sharded, dictionary = log_index(spark, sf_dir)
+    path = scratch_path(spark, "shards")
+    shards.write_corpus(sharded, dictionary, path)
+    found = shards.read_corpus(spark, path)
+    return found.groupBy("shard_name").agg(
         F.count(F.lit(1)).alias("records"),
         F.sum(F.octet_length("line") + 1).alias("bytes"),
         F.min_by("line", "idx").alias("first_line"),
-        F.max_by("line", "idx").alias("last_line"),
+        F.max_by("line", "offset").alias("last_line"),
+        F.count_distinct("source_id").alias("sources"),
+        F.max_by("source_id", "offset").alias("last_source"),
     )
 
 
@@ -607,6 +615,71 @@ def resolve_records(spark, sf_dir):
     return found.select("path", "record_ref", F.get_json_object("record_json", "$.audit_id").alias("audit_id"))
 
 
+# --- what is in a corpus --------------------------------------------------------------
+
+
+def described_records(spark, sf_dir) -> DataFrame:
+    """Records of two datasets: ``(dataset, path, record_ref, record_json)``."""
+    parsed = {"json": formats.json_lines(lines_of(spark, sf_dir, "json_lines")).where("is_object")}
+    parsed["auditd"] = formats.checked(formats.auditd(lines_of(spark, sf_dir, "audit_lines")))
+    named = [r.select(F.lit(n).alias("dataset"), "path", "record_ref", "record_json") for n, r in parsed.items()]
+    return named[0].unionByName(named[1])
+
+
+@query
+def structure_profile(spark, sf_dir):
+    return profile.structure_profile(described_records(spark, sf_dir), ["dataset", "path"], ["record_ref"])
+
+
+@query
+def top_fields(spark, sf_dir):
+    """The five most frequent values of every field, found through summaries of 50 counters a task."""
+    values = profile.field_values(described_records(spark, sf_dir), ["dataset"])
+    return profile.top_values(values, ["dataset", "field"], "value", 5, counters=50)
+
+
+@query
+def corpus_diff(spark, sf_dir):
+    """Two runs over the same logs: the later one lacks some records, holds some twice and has some changed."""
+    columns = ["path", "record_ref", "record_json"]
+    first = formats.json_lines(lines_of(spark, sf_dir, "json_lines")).where("is_object").select(*columns)
+    changed = F.when(F.col("record_ref") % 1009 == 5, F.replace("record_json", F.lit("a:b"), F.lit("b:a"))).otherwise(F.col("record_json"))
+    later = first.where("record_ref % 997 <> 3").withColumn("record_json", changed)
+    later = later.unionByName(later.where("record_ref % 1013 = 7"))
+    runs = [scratch_path(spark, f"run{i}") for i in range(2)]
+    for records, path in zip((first, later), runs):
+        difference.write_run(records, columns, path)
+    return difference.corpus_diff(spark, *runs, columns)
+
+
+def catalogued(spark, sf_dir) -> DataFrame:
+    rows = corpora.corpus(spark, sf_dir, "doc_files")
+    name = F.split("file_name", "/")
+    return rows.select(
+        name[0].alias("source"), name[1].alias("file"), (F.col("ord") % 3 == 0).alias("labeled"),
+        F.octet_length("content").cast("bigint").alias("bytes"), files.file_checksum(F.col("content")).alias("checksum"),
+    )
+
+
+@query
+def manifest_cube(spark, sf_dir):
+    dimensions = ["source", "file", "labeled"]
+    return cubes.exact_cube(catalogued(spark, sf_dir), dimensions, cubes.all_sets(dimensions), ["bytes"], ["checksum"])
+
+
+@query
+def manifest_sketch(spark, sf_dir):
+    """Distinct checksums from sketches, judged against the exact ones: within four standard errors."""
+    dimensions = ["source", "file"]
+    rows, sets = materialize(catalogued(spark, sf_dir), "catalogued"), cubes.rollup_sets(dimensions)
+    near = cubes.sketch_cube(rows, dimensions, sets, ["checksum"]).withColumnRenamed("distinct_checksum", "estimate")
+    exact = cubes.exact_cube(rows, dimensions, sets, [], ["checksum"]).drop("rows")
+    place = [near[c].eqNullSafe(exact[c]) for c in (*dimensions, "grouping")]
+    both = near.join(exact, place[0] & place[1] & place[2]).select(near["source"], near["file"], near["grouping"], "rows", "estimate", "distinct_checksum")
+    allowed = 4 * cubes.SKETCH_ERROR * F.col("distinct_checksum") + 1
+    return both.select("source", "file", "grouping", "rows", (F.abs(F.col("estimate") - F.col("distinct_checksum")) <= allowed).alias("within"))
+
+
 # --- time -----------------------------------------------------------------------------
 
 
