@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from logstrata.plans.datasets import DATASETS
-from logstrata.workload.corpora import FILE_ROWS, corpus_sql
+from logstrata.workload.corpora import FILE_ROWS, START_MS, corpus_sql
 
 ORACLES: dict[str, str] = {}
 
@@ -632,6 +632,20 @@ check(
     counted="select *, cast(sum(opens) over (partition by host order by event_us range between unbounded preceding and current row) as bigint) as session from opened",
 )
 
+check(
+    "stream_sessions",
+    """select source, 'late' as kind, null as start, null as "end", null as rows, null as sum, ref from judged where late
+       union all select source, 'session', min(us), max(us), count(*), sum(value)::bigint, null from counted group by source, session""",
+    "timed_lines",
+    **TIMED_VIEWS,
+    arrived=f"""select host as source, event_us as us, seq as ref, strlen(line)::bigint as value,
+      case when seq % 11 = 0 then 2 else least((event_us - {START_MS * 1000}) // (28 * 8 * 3600000000), 2) end as batch from timed where event_us is not null""",
+    clocks="select a.source, b.batch, max(a.us) as clock from arrived a join (select range as batch from range(3)) b on a.batch < b.batch group by all",
+    judged="select a.*, coalesce(a.us < c.clock - 32400000000, false) as late from arrived a left join clocks c on a.source = c.source and a.batch = c.batch",
+    opened="""select *, case when us - lag(us) over (partition by source order by us) > 900000000 then 1 else 0 end as opens from judged where not late""",
+    counted="select *, sum(opens) over (partition by source order by us range between unbounded preceding and current row) as session from opened",
+)
+
 
 def _window_check(name: str, size: int, slide: int) -> None:
     hour = 3_600_000_000

@@ -15,6 +15,7 @@ from logstrata.plans.ingest import parse_new
 from logstrata.plans.payloads import RowPayload
 from logstrata.session import configure, materialize, scratch_path
 from logstrata.sources import archives, catalogs, files
+from logstrata.streaming import sessions as arriving
 from logstrata.workload import corpora, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -722,6 +723,23 @@ def host_sessions(spark, sf_dir):
     return sessions.sessions(events, ["host"], "event_time", HOUR // 4, sums=["octets"])
 
 
+STREAM_DELAY = 9 * HOUR
+
+
+@query
+def stream_sessions(spark, sf_dir):
+    """The hosts' sessions from a stream of three batches; every 11th row comes with the last one, and may be late."""
+    events = timed_events(spark, sf_dir).select(
+        F.col("host").alias("source"), F.unix_micros("event_time").alias("at"), F.col("seq").alias("ref"),
+        F.octet_length("line").cast("bigint").alias("value"),
+    )
+    third = F.floor((F.col("at") - corpora.START_MS * 1000) / (28 * 8 * HOUR))
+    batch = F.when(F.col("ref") % 11 == 0, 2).otherwise(F.least(third, F.lit(2))).cast("int")
+    events = materialize(events.where("at is not null").withColumn("batch", batch), "arriving")
+    batches = [events.where(F.col("batch") == n).drop("batch") for n in range(3)]
+    return arriving.replay(spark, batches, scratch_path(spark, "stream"), gap=HOUR // 4, delay=STREAM_DELAY)
+
+
 def _windows(spark, sf_dir, size: int, slide: int) -> DataFrame:
     events = timed_events(spark, sf_dir).select("host", "event_time", F.octet_length("line").cast("bigint").alias("octets"))
     parts = sessions.panes(events, ["host"], "event_time", HOUR, "octets")
