@@ -5,7 +5,7 @@ signatures are compared batch by batch; it is dropped as soon as the posterior c
 threshold, given a flat prior, falls below ``MISS``. What survives is checked on the full sets, and links make components.
 
 Candidates are gathered by connected clusters of bands. A small cluster is handled in one place with others; a large one is
-cut into blocks of about ``BLOCK`` nodes, and each pair of blocks is a group of its own, so no group grows with a cluster.
+cut into blocks of about ``BLOCK`` nodes or ``BLOCK_SHINGLES`` shingles, and each pair of blocks is a group of its own, so no group grows with a cluster.
 Pairs already linked through others are not compared again, and only links leave a group: fewer than its nodes.
 """
 
@@ -27,6 +27,8 @@ ROWS = 5
 BATCH = 32
 MISS = 1e-9
 BLOCK = 512
+# A block holds about so many shingles at most, unless one text alone has more.
+BLOCK_SHINGLES = 1 << 20
 # Small clusters share a group of about so many nodes.
 TOGETHER = 2000
 
@@ -131,6 +133,21 @@ def links_of(signatures: np.ndarray, sets: list[np.ndarray], percent: int) -> li
     return out
 
 
+def band_edges(met: DataFrame) -> DataFrame:
+    """``(a, b)`` edges that connect what ``(node, a)`` connects, ``a`` being the smallest node of a band that holds ``node``.
+
+    A node is tied to the least of its bands' smallest nodes only, and those to each other in a chain. Nodes of one cluster
+    share most of these chains, so a cluster sends about one edge a node instead of one for each band of a node. A node has
+    no more such neighbours than a signature has bands.
+    """
+    of_node = met.groupBy("node").agg(F.array_sort(F.collect_set("a")).alias("least"))
+    after = F.slice("least", F.lit(2), F.size("least"))
+    pairs = F.arrays_zip(F.slice("least", F.lit(1), F.size("least") - 1).alias("a"), after.alias("b"))
+    chain = of_node.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+    tied = of_node.select(F.col("least")[0].alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b"))
+    return tied.union(chain).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` for each row of ``docs``.
 
@@ -167,7 +184,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
 
     signed = materialize(source.mapInArrow(sign, f"key {kind}, n_shingles long, h1 long, h2 long, keys binary"), "signatures")
     worded = signed.where((F.col("n_shingles") > 0) & F.col("key").isNotNull())
-    nodes = worded.groupBy("h1", "h2").agg(F.min("key").alias("node"), F.first("keys").alias("keys"))
+    nodes = worded.groupBy("h1", "h2").agg(F.min("key").alias("node"), F.first("keys").alias("keys"), F.max("n_shingles").alias("n_shingles"))
     nodes = materialize(nodes, "nodes")
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,13 +197,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
 
     bands = nodes.select("node", "keys").mapInArrow(banded, f"band long, node {kind}")
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("last")).where(F.col("a") < F.col("last"))
-    edges = shared.join(bands, "band").select("a", F.col("node").alias("b")).distinct()
-    clusters = components(edges).withColumnRenamed("component", "cluster")
-    sized = clusters.groupBy("cluster").agg(F.count("*").alias("nodes"))
-    blocks = F.ceil(F.col("nodes") / BLOCK).cast("int")
-    placed = clusters.join(sized, "cluster").withColumn("blocks", F.when(F.col("nodes") <= 2 * BLOCK, 1).otherwise(blocks))
-    placed = materialize(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "clusters")
-    groups = max(1, -(-placed.where(F.col("blocks") == 1).count() // TOGETHER))
+    clusters = components(band_edges(shared.join(bands, "band").select("node", "a"))).withColumnRenamed("component", "cluster")
+    sizes = nodes.select("node", F.col("n_shingles").alias("own"))
+    sized = clusters.join(sizes, "node").groupBy("cluster").agg(F.count("*").alias("nodes"), F.sum("own").alias("held"))
+    whole = (F.col("nodes") <= 2 * BLOCK) & (F.col("held") <= 2 * BLOCK_SHINGLES)
+    blocks = F.least("nodes", F.greatest(F.ceil(F.col("nodes") / BLOCK), F.ceil(F.col("held") / BLOCK_SHINGLES))).cast("int")
+    sized = materialize(sized.withColumn("blocks", F.when(whole, 1).otherwise(blocks)), "sizes")
+    placed = clusters.join(sized, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = materialize(placed.select("node", "cluster", "blocks", "block"), "clusters")
+    small = sized.where(F.col("blocks") == 1).agg(F.sum("nodes"), F.sum("held")).first()
+    groups = max(1, -(-(small[0] or 0) // TOGETHER), -(-(small[1] or 0) // BLOCK_SHINGLES))
     wanted = source.join(placed, F.col("key") == F.col("node")).select("node", "cluster", "blocks", "block", "text").dropDuplicates(["node", "text"])
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
