@@ -190,13 +190,14 @@ def csv_fields(text: Column) -> Column:
     return F.transform(raw, plain)
 
 
-def csv(lines: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """Header row names the fields; a row with another width is a problem."""
-    decoded = framing.csv_rows(lines).withColumn("text", _decoded(F.col("text"), encoding))
+def csv(lines: DataFrame, encoding: str = "UTF-8", row_bytes: int = framing.CSV_ROW_BYTES) -> DataFrame:
+    """Header row names the fields; a row with another width is a problem, and one of more than ``row_bytes`` bytes."""
+    decoded = framing.csv_rows(lines, row_bytes).withColumn("text", _decoded(F.col("text"), encoding))
     rows = once(decoded, values=csv_fields(pytext.chomp(F.col("text"))))
     header = rows.where("record_ref = 0").select("path", F.col("values").alias("names"))
     width = F.when(F.col("text").rlike(r"\A[\r\n]*\z"), 0).otherwise(F.size("values"))
-    fields = F.when(width == F.size("names"), F.map_from_arrays("names", "values"))
+    fields = F.when((width == F.size("names")) & ~F.col("too_long"), F.map_from_arrays("names", "values"))
+    reason = F.when(F.col("too_long"), F.lit(f"row of more than {row_bytes} bytes, perhaps a quote left open"))
     return (
         rows.where("record_ref > 0")
         .join(header, "path")
@@ -204,7 +205,7 @@ def csv(lines: DataFrame, encoding: str = "UTF-8") -> DataFrame:
         .withColumn("record_json", F.to_json("fields"))
         .withColumn("field_count", F.when(F.col("fields").isNotNull(), F.size("fields")))
         .withColumn("is_object", F.col("fields").isNotNull())
-        .withColumn("problem", _problem(F.col("text"), F.col("fields").isNull(), "row width differs from the header"))
+        .withColumn("problem", F.coalesce(reason, _problem(F.col("text"), F.col("fields").isNull(), "row width differs from the header")))
         .withColumn("position", F.col("record_ref"))
         .select(*RECORD_COLUMNS)
     )

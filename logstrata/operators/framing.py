@@ -126,31 +126,22 @@ _STARTS_OUTSIDE = rf"(?s)\A{_FIELDS}{_OPEN_TAIL}\z"
 _STARTS_INSIDE = rf'(?s)\A[^"]*+(?:""[^"]*+)*+(?:"[^,]*+,{_FIELDS}{_OPEN_TAIL})?+\z'
 
 
-def _quote_state(rows: DataFrame, keys: list[str], order: str, start: Column) -> DataFrame:
-    """Add ``opened``: is a quoted field open where the row begins?
+def _quote_steps(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add ``_flips`` and ``_fixed``, which tell the quote state before a row for either state before them all.
 
-    A row maps the state before it to the state after it (``from_out``,
-    ``from_in``): it keeps, flips or fixes the state. The state is that of the
-    last row that fixed it, flipped once per flipping row since.
+    A row maps the state before it to the state after it (``from_out``, ``from_in``): it keeps, flips or fixes the state. The
+    state is that of the last row that fixed it, flipped once per flipping row since.
     """
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     flips = F.coalesce(F.sum(F.when(F.col("from_out") & ~F.col("from_in"), 1).otherwise(0)).over(w), F.lit(0))
-    return (
-        rows.withColumn("_flips", flips)
-        .withColumn(
-            "_fixed",
-            F.last(
-                F.when(F.col("from_out") == F.col("from_in"), F.struct("_flips", F.col("from_out").alias("to"))),
-                ignorenulls=True,
-            ).over(w),
-        )
-        .withColumn(
-            "opened",
-            ((F.col("_flips") - F.coalesce(F.col("_fixed._flips"), F.lit(0))) % 2 == 1)
-            != F.coalesce(F.col("_fixed.to"), start),
-        )
-        .drop("_flips", "_fixed")
-    )
+    fixes = F.when(F.col("from_out") == F.col("from_in"), F.struct("_flips", F.col("from_out").alias("to")))
+    return rows.withColumn("_flips", flips).withColumn("_fixed", F.last(fixes, ignorenulls=True).over(w))
+
+
+def _open_after(start: Column) -> Column:
+    """Is a quoted field open where a row with its steps begins, if ``start`` held before all?"""
+    flipped = (F.col("_flips") - F.coalesce(F.col("_fixed._flips"), F.lit(0))) % 2 == 1
+    return flipped != F.coalesce(F.col("_fixed.to"), start)
 
 
 def csv_row_offsets(lines: DataFrame) -> DataFrame:
@@ -162,24 +153,17 @@ def csv_row_offsets(lines: DataFrame) -> DataFrame:
         .withColumn("from_in", F.col("_bare").rlike(_STARTS_INSIDE))
         .drop("_bare")
     )
-    # Folding a block's lines in order gives the state change of the whole block.
-    fold = F.aggregate(
-        F.sort_array(F.collect_list(F.struct("seq", "from_out", "from_in"))),
-        F.struct(F.lit(False).alias("o"), F.lit(True).alias("i")),
-        lambda acc, x: F.struct(
-            F.when(acc["o"], x["from_in"]).otherwise(x["from_out"]).alias("o"),
-            F.when(acc["i"], x["from_in"]).otherwise(x["from_out"]).alias("i"),
-        ),
-    )
-    blocks = (
-        shaped.groupBy("path", "block")
-        .agg(fold.alias("_change"))
-        .select("path", "block", F.col("_change.o").alias("from_out"), F.col("_change.i").alias("from_in"))
-    )
-    entry = _quote_state(blocks, ["path"], "block", F.lit(False)).select(
-        "path", "block", F.col("opened").alias("_entry")
-    )
-    stated = _quote_state(shaped.join(entry, ["path", "block"]), ["path", "block"], "seq", F.col("_entry"))
+    # Written once: the steps are looked at per block and per line.
+    stepped = materialize(_quote_steps(shaped, ["path", "block"], "seq"), "csv_steps")
+
+    def after(start: bool) -> Column:
+        return F.when(_open_after(F.lit(start)), F.col("from_in")).otherwise(F.col("from_out"))
+
+    # The state after a block's last line, for either state before its first, is the step of the whole block.
+    blocks = stepped.groupBy("path", "block").agg(F.max_by(F.struct(after(False).alias("from_out"), after(True).alias("from_in")), "seq").alias("_step"))
+    entry = _quote_steps(blocks.select("path", "block", "_step.from_out", "_step.from_in"), ["path"], "block")
+    entry = entry.select("path", "block", _open_after(F.lit(False)).alias("_entry"))
+    stated = stepped.join(entry, ["path", "block"]).withColumn("opened", _open_after(F.col("_entry"))).drop("_flips", "_fixed")
     # Written once: the row starts are looked at per block and per line.
     starts = materialize(stated.withColumn("_start", F.when(~F.col("opened"), F.col("byte_offset"))), "csv_lines")
     last = starts.groupBy("path", "block").agg(F.max("_start").alias("_last"))
@@ -193,16 +177,24 @@ def csv_row_offsets(lines: DataFrame) -> DataFrame:
     )
 
 
-def csv_rows(lines: DataFrame) -> DataFrame:
-    """One row per CSV record: ``(path, block, record_ref, text)``, lines joined again."""
+# A row of more bytes than this is a problem, not a record: one stray quote would gather the rest of its file.
+CSV_ROW_BYTES = 16 << 20
+
+
+def csv_rows(lines: DataFrame, limit: int = CSV_ROW_BYTES) -> DataFrame:
+    """One row per CSV record: ``(path, block, record_ref, text, too_long)``, lines joined again.
+
+    Lines that begin more than ``limit`` bytes after their record are not joined; the record is then ``too_long``.
+    """
+    near = F.col("byte_offset") - F.col("row_offset") <= limit
+    piece = F.when(near, F.struct("byte_offset", "line"))
     rows = (
         csv_row_offsets(lines)
         .groupBy("path", F.col("row_offset").alias("record_ref"))
         .agg(
             F.min("block").alias("block"),
-            F.array_join(
-                F.transform(F.sort_array(F.collect_list(F.struct("byte_offset", "line"))), lambda x: x["line"]), "\n"
-            ).alias("text"),
+            F.array_join(F.transform(F.sort_array(F.collect_list(piece)), lambda x: x["line"]), "\n").alias("text"),
+            F.bool_or(~near).alias("too_long"),
         )
     )
     return once(rows, record_ref=F.col("record_ref"))

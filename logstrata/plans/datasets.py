@@ -6,6 +6,7 @@ payload their records are parsed from.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -183,12 +184,17 @@ def discover(spark: SparkSession, dataset_id: str, root: str, only: list[str] |
         return host_logs(_members(spark, where, "*.zip", wanted=HOST_LOG_MEMBER), root)
     if dataset_id == "elastic_fixtures":
         # Hidden folders are only listed when the pattern names them.
-        pattern = f"{root}/packages/*/data_stream/*/_dev/test/pipeline/test-*.{{log,json}}"
-        found = files.relative_names(files.checksums(spark, pattern), root)
-        return vendor_fixtures(found, FilePayload(spark, pattern))
+        where = f"{root}/packages/*/data_stream/*/_dev/test/pipeline/test-*.{{log,json}}"
+        if only is not None:
+            shape = re.compile(r".*/packages/[^/]+/data_stream/[^/]+/_dev/test/pipeline/test-[^/]*\.(?:log|json)")
+            where = [p for p in only if shape.fullmatch(p)]
+        found = files.checksums(spark, where) if where else spark.createDataFrame([], "path string, bytes bigint, checksum_sha256 string")
+        return vendor_fixtures(files.relative_names(found, root), FilePayload(spark, where or root))
     if dataset_id == "splunk_attack_data":
         samples = catalogs.catalog_samples(files.read_texts(spark, f"{root}/datasets", "*.yml"))
-        present = files.relative_names(files.list_files(spark, root), root)
+        # A new catalogue may list files that came before it, so only data files can be looked at alone.
+        where = root if only is None or any(p.lower().endswith(".yml") for p in only) else only
+        present = files.relative_names(files.list_files(spark, where), root)
         listed = classify.resolve_samples(samples, present.select(F.col("file_name").alias("path")))
         names = listed.select(F.col("path").alias("file_name"))
         # Only listed files are read; the rest of the checkout is not even hashed.

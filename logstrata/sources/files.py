@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logstrata.functions import pytext
 from logstrata.functions.barrier import once
-from logstrata.operators.framing import EVENT_CLOSE
+from logstrata.operators.framing import BLOCK_ROWS, EVENT_CLOSE
 
 # A row holds at most 2 GB; larger files are hashed as a stream.
 WHOLE_FILE_LIMIT = 1 << 30
@@ -180,7 +180,8 @@ def _pieces(files: DataFrame, pieces: Column, name: str) -> DataFrame:
     counted = once(split, _count=F.size("_pieces"))
     return counted.select("path", "_count", F.posexplode_outer("_pieces").alias("seq", name)).select(
         "path",
-        F.lit(0).cast("bigint").alias("block"),
+        # A member that holds a third of all lines is then worked on in as many places as it has blocks.
+        F.floor(F.col("seq") / BLOCK_ROWS).cast("bigint").alias("block"),
         F.col("seq").cast("bigint").alias("seq"),
         name,
         (F.col("seq") == F.col("_count") - 1).alias("_tail"),
