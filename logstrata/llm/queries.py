@@ -65,7 +65,7 @@ def op3_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(4).alias("held_out"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity_cnn.fit(docs.join(labels, "doc_id"), ~F.col("held_out"))
+    model = toxicity_cnn.fit(docs, ~F.col("held_out"), labels=labels)
     return toxicity_cnn.detect(docs, model, carry=["doc_id", "held_out"])
 
 

@@ -162,8 +162,13 @@ class ToxicityCnn:
                 self.thresholds[language] = float(min(best, key=lambda t: abs(t - THRESHOLD)))
 
 
-def fit(docs: DataFrame, learn: Column, toxic: str = "toxic", key: str = "doc_id", text: str = "text", lang: str = "lang") -> ToxicityCnn:
-    """Train on the first ``SAMPLE`` labelled rows of ``docs``, in hash order of the key, where ``learn`` holds."""
+def fit(docs: DataFrame, learn: Column, toxic: str = "toxic", key: str = "doc_id", text: str = "text", lang: str = "lang", labels: DataFrame | None = None) -> ToxicityCnn:
+    """Train on the first ``SAMPLE`` labelled rows of ``docs``, in hash order of the key, where ``learn`` holds.
+
+    The label is a column of ``docs``, or of ``labels`` under the same key. The sample is chosen on keys alone; only the
+    texts below the hash that ends it are read for training. Rows with a null text, label or (with ``labels``) key are left
+    out; repeated rows count each; with no row or one class only, the model scores alike everything it cannot tell.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -174,9 +179,27 @@ def fit(docs: DataFrame, learn: Column, toxic: str = "toxic", key: str = "doc_id
                 names=["place", "label", "lang", "words"],
             )
 
-    labelled = docs.where(learn & F.col(toxic).isNotNull() & F.col(text).isNotNull())
-    labelled = labelled.select(F.xxhash64(key).alias("place"), F.col(toxic).cast("int").alias("label"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sample = labelled.orderBy("place", "text").limit(SAMPLE).mapInArrow(hashed, "place long, label int, lang string, words binary").toArrow()
+    place = F.xxhash64(key)
+    given = docs.where(learn & F.col(text).isNotNull())
+    if labels is not None:
+        labels = labels.where(F.col(toxic).isNotNull()).select(F.col(key).alias("_key"), F.col(toxic).alias("_toxic"), place.alias("_place"))
+
+    def labelled(limit: int | None) -> DataFrame:
+        rows = given if limit is None else given.where(place <= limit)
+        if labels is None:
+            return rows.where(F.col(toxic).isNotNull()).withColumn("_toxic", F.col(toxic))
+        own = labels if limit is None else labels.where(F.col("_place") <= limit)
+        return rows.join(own, F.col(key) == F.col("_key"))
+
+    # At most 65,536 shares of the hash range; the first that together hold the sample.
+    share = F.shiftright(place, 48)
+    shares = labelled(None).groupBy(share.alias("share")).agg(F.count("*").alias("n")).collect()
+    limit, seen = -1 << 63, 0
+    for r in sorted(shares, key=lambda r: r["share"]):
+        if seen < SAMPLE:
+            limit, seen = (r["share"] + 1 << 48) - 1, seen + r["n"]
+    rows = labelled(limit).select(place.alias("place"), F.col("_toxic").cast("int").alias("label"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sample = rows.orderBy("place", "text").limit(SAMPLE).mapInArrow(hashed, "place long, label int, lang string, words binary").toArrow()
     sample = sample.sort_by("place")
     texts = [np.frombuffer(b, np.int32).reshape(-1, 1 + len(STEMS)) for b in sample.column("words").to_pylist()]
     labels, languages = sample.column("label").to_numpy().astype(np.int64), sample.column("lang").to_pylist()
