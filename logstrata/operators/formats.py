@@ -97,29 +97,81 @@ def auditd(lines: DataFrame) -> DataFrame:
     )
 
 
-# Fixed patterns, by their public grok names; only those the supported logs need.
+# Fixed patterns, by their public grok names: words and numbers, hosts, paths, dates, syslog, access logs.
 GROK = {
     "USERNAME": r"[a-zA-Z0-9._-]+",
     "USER": r"%{USERNAME}",
+    "EMAILLOCALPART": r"[a-zA-Z0-9!#$%&'*+\-/=?^_`{|}~]{1,64}(?:\.[a-zA-Z0-9!#$%&'*+\-/=?^_`{|}~]{1,62}){0,63}",
+    "EMAILADDRESS": r"%{EMAILLOCALPART}@%{HOSTNAME}",
     "HTTPDUSER": r"(?:[a-zA-Z0-9!#$&'*+\-/=?^_`{|}~.]+@%{HOSTNAME}|%{USER})",
     "INT": r"[+-]?[0-9]+",
+    "BASE10NUM": r"(?<![0-9.+-])[+-]?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)",
     "NUMBER": r"[+-]?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)",
+    "BASE16NUM": r"(?<![0-9A-Fa-f])(?:[+-]?(?:0x)?[0-9A-Fa-f]+)",
+    "BASE16FLOAT": r"\b(?<![0-9A-Fa-f.])(?:[+-]?(?:0x)?(?:[0-9A-Fa-f]+(?:\.[0-9A-Fa-f]*)?|\.[0-9A-Fa-f]+))\b",
+    "POSINT": r"\b[1-9][0-9]*\b",
+    "NONNEGINT": r"\b[0-9]+\b",
     "WORD": r"\b\w+\b",
     "NOTSPACE": r"\S+",
     "SPACE": r"\s*",
     "DATA": r".*?",
     "GREEDYDATA": r".*",
     "QS": r"""(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'|`[^`\\]*+(?:\\.[^`\\]*+)*+`)""",
+    "QUOTEDSTRING": r"%{QS}",
+    "UUID": r"[A-Fa-f0-9]{8}-(?:[A-Fa-f0-9]{4}-){3}[A-Fa-f0-9]{12}",
+    "URN": r"urn:[0-9A-Za-z][0-9A-Za-z-]{0,31}:(?:%[0-9a-fA-F]{2}|[0-9A-Za-z()+,.:=@;$_!*'/?#-])+",
+    "CISCOMAC": r"(?:[A-Fa-f0-9]{4}\.){2}[A-Fa-f0-9]{4}",
+    "WINDOWSMAC": r"(?:[A-Fa-f0-9]{2}-){5}[A-Fa-f0-9]{2}",
+    "COMMONMAC": r"(?:[A-Fa-f0-9]{2}:){5}[A-Fa-f0-9]{2}",
+    "MAC": r"(?:%{CISCOMAC}|%{WINDOWSMAC}|%{COMMONMAC})",
     "IPV4": r"(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])",
     "IPV6": r"(?=[0-9A-Fa-f.]*:)[0-9A-Fa-f:.]+(?:%[0-9A-Za-z]+)?",
     "IP": r"(?:%{IPV6}|%{IPV4})",
     "HOSTNAME": r"\b[0-9A-Za-z][0-9A-Za-z-]{0,62}(?:\.[0-9A-Za-z][0-9A-Za-z-]{0,62})*(?:\.?|\b)",
+    "HOST": r"%{HOSTNAME}",
     "IPORHOST": r"(?:%{IP}|%{HOSTNAME})",
+    "HOSTPORT": r"%{IPORHOST}:%{POSINT}",
+    "UNIXPATH": r"(?:/[\w_%!$@:.,+~-]*)+",
+    "WINPATH": r"(?:[A-Za-z]+:|\\)(?:\\[^\\?*]*)+",
+    "PATH": r"(?:%{UNIXPATH}|%{WINPATH})",
+    "TTY": r"/dev/(?:pts|tty(?:[pq])?)(?:\w+)?/?(?:[0-9]+)",
+    "URIPROTO": r"[A-Za-z](?:[A-Za-z0-9+\-.]+)+",
+    "URIHOST": r"%{IPORHOST}(?::%{POSINT})?",
+    "URIPATH": r"(?:/[A-Za-z0-9$.+!*'(){},~:;=@#%&_\-]*)+",
+    "URIQUERY": r"[A-Za-z0-9$.+!*'|(){},~@#%&/=:;_?\-\[\]<>]*",
+    "URIPARAM": r"\?%{URIQUERY}",
+    "URIPATHPARAM": r"%{URIPATH}(?:%{URIPARAM})?",
+    "URI": r"%{URIPROTO}://(?:%{USER}(?::[^@]*)?@)?(?:%{URIHOST})?(?:%{URIPATHPARAM})?",
+    "MONTH": r"\b(?:[Jj]an(?:uary)?|[Ff]eb(?:ruary)?|[Mm]ar(?:ch)?|[Aa]pr(?:il)?|[Mm]ay|[Jj]une?|[Jj]uly?|[Aa]ug(?:ust)?|[Ss]ep(?:tember)?|[Oo]ct(?:ober)?|[Nn]ov(?:ember)?|[Dd]ec(?:ember)?)\b",
+    "MONTHNUM": r"(?:0?[1-9]|1[0-2])",
+    "MONTHNUM2": r"(?:0[1-9]|1[0-2])",
     "MONTHDAY": r"(?:0[1-9]|[12][0-9]|3[01]|[1-9])",
-    "MONTH": r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)\b",
+    "DAY": r"(?:Mon(?:day)?|Tue(?:sday)?|Wed(?:nesday)?|Thu(?:rsday)?|Fri(?:day)?|Sat(?:urday)?|Sun(?:day)?)",
     "YEAR": r"(?:[0-9]{2}){1,2}",
+    "HOUR": r"(?:2[0123]|[01]?[0-9])",
+    "MINUTE": r"[0-5][0-9]",
+    "SECOND": r"(?:[0-5]?[0-9]|60)(?:[:.,][0-9]+)?",
     "TIME": r"(?:2[0123]|[01]?[0-9]):[0-5][0-9](?::(?:[0-5]?[0-9]|60)(?:[:.,][0-9]+)?)?",
+    "DATE_US": r"%{MONTHNUM}[/-]%{MONTHDAY}[/-]%{YEAR}",
+    "DATE_EU": r"%{MONTHDAY}[./-]%{MONTHNUM}[./-]%{YEAR}",
+    "DATE": r"(?:%{DATE_US}|%{DATE_EU})",
+    "DATESTAMP": r"%{DATE}[- ]%{TIME}",
+    "ISO8601_TIMEZONE": r"(?:Z|[+-]%{HOUR}(?::?%{MINUTE}))",
+    "ISO8601_SECOND": r"%{SECOND}",
+    "TIMESTAMP_ISO8601": r"%{YEAR}-%{MONTHNUM}-%{MONTHDAY}[T ]%{HOUR}:?%{MINUTE}(?::?%{SECOND})?(?:%{ISO8601_TIMEZONE})?",
+    "TZ": r"(?:[APMCE][SD]T|UTC)",
+    "DATESTAMP_RFC822": r"%{DAY} %{MONTH} %{MONTHDAY} %{YEAR} %{TIME} %{TZ}",
+    "DATESTAMP_RFC2822": r"%{DAY}, %{MONTHDAY} %{MONTH} %{YEAR} %{TIME} %{ISO8601_TIMEZONE}",
+    "DATESTAMP_OTHER": r"%{DAY} %{MONTH} %{MONTHDAY} %{TIME} %{TZ} %{YEAR}",
+    "DATESTAMP_EVENTLOG": r"%{YEAR}%{MONTHNUM2}%{MONTHDAY}%{HOUR}%{MINUTE}%{SECOND}",
     "HTTPDATE": r"%{MONTHDAY}/%{MONTH}/%{YEAR}:%{TIME} %{INT}",
+    "SYSLOGTIMESTAMP": r"%{MONTH} +%{MONTHDAY} %{TIME}",
+    "PROG": r"[\x21-\x5a\x5c\x5e-\x7e]+",
+    "SYSLOGPROG": r"%{PROG:program}(?:\[%{POSINT:pid}\])?",
+    "SYSLOGHOST": r"%{IPORHOST}",
+    "SYSLOGFACILITY": r"<%{NONNEGINT:facility}\.%{NONNEGINT:priority}>",
+    "SYSLOGBASE": r"%{SYSLOGTIMESTAMP:timestamp} (?:%{SYSLOGFACILITY} )?%{SYSLOGHOST:logsource} %{SYSLOGPROG}:",
+    "LOGLEVEL": r"(?:[Aa]lert|ALERT|[Tt]race|TRACE|[Dd]ebug|DEBUG|[Nn]otice|NOTICE|[Ii]nfo|INFO|[Ww]arn(?:ing)?|WARN(?:ING)?|[Ee]rr(?:or)?|ERR(?:OR)?|[Cc]rit(?:ical)?|CRIT(?:ICAL)?|[Ff]atal|FATAL|[Ss]evere|SEVERE|[Ee]merg(?:ency)?|EMERG(?:ENCY)?)",
     "COMMONAPACHELOG": (
         r"%{IPORHOST:clientip} %{HTTPDUSER:ident} %{USER:auth} \[%{HTTPDATE:timestamp}\] "
         r'"(?:%{WORD:verb} %{NOTSPACE:request}(?: HTTP/%{NUMBER:httpversion})?|%{DATA:rawrequest})" '

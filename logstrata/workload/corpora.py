@@ -181,6 +181,19 @@ CORPORA: dict[str, tuple[str, dict[str, str]]] = {
         "events",
         {"path": f"concat('cat', {_s(_BUCKET + ' % 5')}, '/s', {_s(_BUCKET)}, '.evtx')", "seq": "event_id", "line": WINDOWS_EVENT},
     ),
+    "syslog_lines": (
+        "events",
+        {
+            "path": "concat('var/log/h', cast(user_id % 6 as string))",
+            "seq": "event_id",
+            "line": f"concat('Nov ', case when {_day(_AT)} < '10' then concat(' ', substring({_day(_AT)}, 2, 1)) else {_day(_AT)} end, ' ', {_clock(_AT)}, ' h', "
+            "cast(user_id % 6 as string), '.example.org ', case when event_id % 4 = 0 then 'kernel' else concat('app/', event_type, '[', cast(1 + user_id as string), ']') end, ': ', "
+            "case event_id % 3 when 0 then 'WARN' when 1 then 'info' else 'Error' end, ' ', case when event_id % 29 = 0 then 'cut off' else concat('u', cast(user_id as string), "
+            "'@mail.example.org https://u:p@10.1.', cast(user_id % 256 as string), '.7:8443/a/', event_type, '?id=', cast(event_id as string), '&x=[1] took ', cast(event_id % 90 as string), "
+            "'.5 0a:1b:2c:3d:4e:', lpad(cast(event_id % 100 as string), 2, '0'), ' /var/lib/', event_type, '.d/f-', cast(event_id % 13 as string), ' (00000000-aaaa-4bbb-8ccc-', "
+            "lpad(cast(event_id as string), 12, '0'), ')') end)",
+        },
+    ),
     "timed_lines": (
         "events",
         {"path": f"concat('host', cast(user_id % {HOSTS} as string), '/', cast({_TIME_KIND} as string))", "seq": "event_id", "line": TIMED_LINE},

@@ -77,6 +77,17 @@ check(
     "access_lines",
     framed=framed("access_lines"),
 )
+_SYSLOG = r"""'^(Nov +\d+ [0-9:]+) (\S+) ([^ \[\]]+)(?:\[(\d+)\])?: (\w+) (\S+@\S+) (https://\S+) took [0-9.]+ \S+ /\S+ \(\S+\)$'"""
+_SYSLOG_END = r"""' (https://\S+) took ([0-9.]+) (\S+) (/\S+) \((\S+)\)$'"""
+_SYSLOG_PARTS = [(_SYSLOG, "timestamp logsource program pid level mail"), (_SYSLOG_END, "uri took mac file id")]
+check(
+    "grok_syslog",
+    "select path, record_ref, null::varchar as facility, null::varchar as priority, "
+    + ", ".join(f"nullif(regexp_extract(line, {regex}, {i}), '') as {n}" for regex, names in _SYSLOG_PARTS for i, n in enumerate(names.split(), 1))
+    + f", case when not regexp_matches(line, {_SYSLOG}) then 'pattern does not match' end as problem from framed",
+    "syslog_lines",
+    framed=framed("syslog_lines"),
+)
 check(
     "csv_scan",
     r"""select path, record_ref, concat('{"id": "', c_custkey, '", "name": "', c_name, ' \"q\" ',

@@ -73,6 +73,18 @@ def grok_extract(spark, sf_dir):
     return fields.select("path", "record_ref", "fields.*", "problem")
 
 
+SYSLOG_PATTERN = (
+    r"%{SYSLOGBASE} %{LOGLEVEL:level} %{EMAILADDRESS:mail} %{URI:uri} took %{BASE10NUM:took} %{MAC:mac} %{PATH:file} \(%{UUID:id}\)"
+)
+
+
+@query
+def grok_syslog(spark, sf_dir):
+    """Syslog lines by the general pattern names; lines that were cut off are problems."""
+    fields = formats.grok_fields(lines_of(spark, sf_dir, "syslog_lines"), SYSLOG_PATTERN)
+    return fields.select("path", "record_ref", "fields.*", "problem")
+
+
 @query
 def csv_scan(spark, sf_dir):
     records = formats.checked(formats.csv(framing.with_block(corpora.csv_lines(spark, sf_dir))))
