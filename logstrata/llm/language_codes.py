@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logstrata.llm.bytegrams import grams, inside_texts
-from logstrata.llm.textblocks import LOWER, flat, mix, slices
+from logstrata.llm.textblocks import LOWER, SPACE, flat, mix, slices
 
 BITS = 16
 ORDERS = (2, 3, 4)
@@ -68,6 +68,16 @@ class LanguageCodes:
             self.weights[:, bit] = np.log(yes / no)
             self.importance[bit] = ((yes - no) * np.log(yes / no)).sum()
         self.importance /= self.importance.sum() or 1
+        self.bits = np.log2(shares * counts.shape[1]).astype(np.float32)
+
+    def evidence(self, data: np.ndarray, bounds: np.ndarray, language: np.ndarray) -> np.ndarray:
+        """Bits by which a text's n-grams are, on average, likelier in a language than drawn evenly; 0 without any."""
+        texts = len(bounds) - 1
+        total, n = np.zeros(texts), np.zeros(texts)
+        for hashed, text in _features(data, bounds):
+            total += np.bincount(text, weights=self.bits[language[text], hashed], minlength=texts)
+            n += np.bincount(text, minlength=texts)
+        return total / np.maximum(n, 1)
 
     def decode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language number, share of belief in it, and in the runner-up, of each text."""
@@ -88,7 +98,11 @@ class LanguageCodes:
 
 
 def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang") -> LanguageCodes:
-    """Count n-grams by language over all texts where ``learn`` holds; one dense row of counts for each language."""
+    """Count n-grams by language over all texts where ``learn`` holds; one dense row of counts for each language.
+
+    Rows without a language are left out, a null text counts as empty, repeated rows count each. Without any language the
+    model has none and tells nothing.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -115,14 +129,23 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang")
     return LanguageCodes(languages.tolist(), counts)
 
 
-def identify(docs: DataFrame, model: LanguageCodes, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def letter_share(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The share of letters among the bytes of each text that are not blank; 0 without any."""
+    letter, solid = np.concatenate(([0], np.cumsum(FOLD[data] != 32))), np.concatenate(([0], np.cumsum(~SPACE[data])))
+    return np.diff(letter[bounds]) / np.maximum(np.diff(solid[bounds]), 1)
+
+
+def identify(docs: DataFrame, model: LanguageCodes, text: str = "text", carry: list[str] | None = None, evidence: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous``.
 
+    With ``evidence`` also that of the predicted language (bits an n-gram; negative where chance does better), and
+    ``letters``, the share of letters in what is not blank.
+
     A text that is null or has no letter, and any text for a model without languages, gets ``und`` with score 0. A text is
     ambiguous when the belief in its language is below ``AMBIGUOUS`` of that in the best two. Only the text decides. ``carry``
     names fewer columns to keep; columns that carry one of the new names are replaced.
     """
-    new = ["lang_pred", "score", "ambiguous"]
+    new = ["lang_pred", "score", "ambiguous", *(["evidence", "letters"] if evidence else [])]
     names = [c for c in (docs.columns if carry is None else carry) if c not in new]
     source = docs.select(*names, F.col(text).alias("_text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-2])
@@ -138,6 +161,10 @@ def identify(docs: DataFrame, model: LanguageCodes, text: str = "text", carry: l
                 best = np.where(known, found, best)
                 score, second = np.where(known, score, 0.0), np.where(known, second, 0.0)
             columns = [pa.array(languages[best].tolist(), pa.string()), pa.array(score), pa.array(score < AMBIGUOUS * (score + second))]
+            if evidence:
+                data, bounds = flat(part.column("_text"))
+                bits = model.evidence(data, bounds, found) if model.languages else np.zeros(texts)
+                columns += [pa.array(bits), pa.array(letter_share(data, bounds))]
             yield pa.RecordBatch.from_arrays([*part.columns[:-2], *columns], names=[*part.schema.names[:-2], *new])
 
-    return source.mapInArrow(decide, f"{schema + ', ' if schema else ''}lang_pred string, score double, ambiguous boolean")
+    return source.mapInArrow(decide, f"{schema + ', ' if schema else ''}lang_pred string, score double, ambiguous boolean" + (", evidence double, letters double" if evidence else ""))
