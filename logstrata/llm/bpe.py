@@ -6,13 +6,16 @@ ids with the vocabulary and aggregates the pieces in order. Words met before are
 
 Words beyond ``LONG`` bytes take the same steps from table to table, as the rows of a recursion add up. One step then
 contracts occurrences of the least pair from the left up to the first one whose result forms a pair of lower rank, which
-would come next; so the outcome is that of contracting one pair at a time.
+would come next; so the outcome is that of contracting one pair at a time. Words beyond ``ENDLESS`` bytes, whose tables would
+not fit, go through a queue of their pairs in that same order.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
+from array import array
 from collections.abc import Iterator
 
 import duckdb
@@ -25,23 +28,28 @@ from pyspark.sql import functions as F
 from logstrata.llm.textblocks import slices
 
 LONG = 256
-REMEMBERED = 200_000
+# Beyond this a word's tables would not fit into the database's memory.
+ENDLESS = 1 << 15
+DECODED = 1 << 16
+REMEMBERED = 400_000
 DUCKDB_MEMORY = "256MB"
 
+# A slot is a token's place among all words. A word is done in the turn after its last pair; its rows then leave the recursion.
 CONTRACT = """
 with recursive step as (
-  select word, pos, tok, nxt, 0 as turn from pieces
+  select word, slot, tok, nxt, false as done from pieces
   union all
-  select t.word, t.pos, case when t.pos = best.spot then best.made else t.tok end,
-         case when t.pos = best.spot then best.after else t.nxt end, t.turn + 1
-  from step t join (
-    select l.word, min(c * 65536::bigint + l.pos) as least, least % 65536 as spot, (least // 65536)::int as made,
-           arg_min(r.nxt, c * 65536::bigint + l.pos) as after, arg_min(r.pos, c * 65536::bigint + l.pos) as gone
-    from step l join step r on l.word = r.word and l.nxt = r.pos join merges on a = l.tok and b = r.tok
+  select t.word, t.slot, case when t.slot = best.spot then best.made else t.tok end,
+         case when t.slot = best.spot then best.after else t.nxt end, best.word is null
+  from (select * from step where not done) t left join (
+    select l.word, min((c::bigint << 32) | l.slot) as least, (least & 4294967295)::int as spot, (least >> 32)::int as made,
+           arg_min((r.slot::bigint << 32) | (r.nxt + 1), (c::bigint << 32) | l.slot) as other,
+           (other >> 32)::int as gone, ((other & 4294967295) - 1)::int as after
+    from step l join step r on l.nxt = r.slot join neighbours on pair = (l.tok::bigint << 32) | r.tok
+    where not l.done
     group by l.word) best
-  on t.word = best.word where t.pos <> best.gone)
-select word, list(tok order by pos) as ids
-from step join (select word, max(turn) as turn from step group by word) using (word, turn) group by word
+  on t.word = best.word where t.slot is distinct from best.gone)
+select word, list(tok order by slot) as ids from step where done group by word
 """
 
 LONG_PAIRS = """
@@ -73,7 +81,8 @@ left join taken g on g.word = p.word and g.pos = p.pos - 1
 where p.least is not null and g.word is null
 """
 
-DECODE = "select text, from_hex(string_agg(hex, '' order by pos)) as bytes from ids join vocabulary using (id) group by text"
+# A byte is the letter of its number, so pieces of characters are text too.
+DECODE = "select text, array_to_string(list(letters order by pos), '') as letters from ids join vocabulary using (id) group by text"
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -105,7 +114,10 @@ class Coder:
         ).reshape(-1, 3)
         self.base = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": ""})
         self._table("merges", {c: merges[:, i] for i, c in enumerate("abc")})
-        self._table("vocabulary", {"id": np.arange(len(tokens), dtype=np.int32), "hex": [t.hex() for t in tokens]})
+        self._table("neighbours", {"pair": merges[:, 0].astype(np.int64) << 32 | merges[:, 1], "c": merges[:, 2]})
+        self.merges = merges
+        self.pairs: dict[int, int] | None = None
+        self._table("vocabulary", {"id": np.arange(len(tokens), dtype=np.int32), "letters": [t.decode("latin-1") for t in tokens]})
 
     def _table(self, name: str, columns: dict) -> None:
         self.base.register("given", pa.table(columns))
@@ -122,16 +134,21 @@ class Coder:
     def contract(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as little-endian 32-bit integers."""
         out: list[bytes] = [b""] * len(words)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
+        # Words of about equal length are done in about as many turns.
+        short = sorted((i for i, w in enumerate(words) if len(w) <= LONG), key=lambda i: len(words[i]))
         for begin in range(0, len(short), 8192):
             own = short[begin : begin + 8192]
             word, pos, lengths = self._rows([words[i] for i in own])
-            nxt = np.where(pos + 1 < np.repeat(lengths, lengths), pos + 1, -1).astype(np.int32)
+            slot = word * (2 * LONG) + pos
+            nxt = np.where(pos + 1 < np.repeat(lengths, lengths), slot + 1, -1).astype(np.int32)
             tok = self.single[np.frombuffer(b"".join(words[i] for i in own), np.uint8)]
-            self.base.register("pieces", pa.table({"word": word, "pos": pos, "tok": tok, "nxt": nxt}))
+            self.base.register("pieces", pa.table({"word": word, "slot": slot, "tok": tok, "nxt": nxt}))
             self._take(self.base.sql(CONTRACT).to_arrow_table(), own, out)
             self.base.unregister("pieces")
-        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        long = [i for i, w in enumerate(words) if LONG < len(w) <= ENDLESS]
+        for i, w in enumerate(words):
+            if len(w) > ENDLESS:
+                out[i] = self.merge(w)
         if long:
             word, pos, _ = self._rows([words[i] for i in long])
             tok = self.single[np.frombuffer(b"".join(words[i] for i in long), np.uint8)]
@@ -143,6 +160,31 @@ class Coder:
                 self.base.execute(LONG_STEP)
         return out
 
+    def merge(self, word: bytes) -> bytes:
+        """The ids of one word beyond what tables in memory can hold, by a queue of its pairs, at about 60 bytes a byte."""
+        if self.pairs is None:
+            self.pairs = {int(a) << 32 | int(b): int(c) for a, b, c in self.merges}
+        ids = array("i", self.single[np.frombuffer(word, np.uint8)].tobytes())
+        n, made = len(ids), self.pairs.get
+        right, left = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
+        queue = [c << 32 | i for i in range(n - 1) if (c := made(ids[i] << 32 | ids[i + 1])) is not None]
+        heapq.heapify(queue)
+        while queue:
+            least = heapq.heappop(queue)
+            c, i = least >> 32, least & 0xFFFFFFFF
+            j = right[i]
+            if ids[i] < 0 or j >= n or made(ids[i] << 32 | ids[j]) != c:
+                continue
+            ids[i], ids[j] = c, -1
+            right[i] = after = right[j]
+            if after < n:
+                left[after] = i
+            for at, other in ((left[i], i), (i, after)):
+                if at >= 0 and other < n and (c := made(ids[at] << 32 | ids[other])) is not None:
+                    heapq.heappush(queue, c << 32 | at)
+        kept = np.frombuffer(ids, np.int32)
+        return kept[kept >= 0].astype("<u4").tobytes()
+
     @staticmethod
     def _take(found: pa.Table, places: list[int], out: list[bytes]) -> None:
         ids = found.column("ids").combine_chunks()
@@ -169,16 +211,22 @@ class Coder:
         return [b"".join(map(self.young.__getitem__, w)) for w in words]
 
     def decode(self, coded: list[bytes]) -> list[bytes]:
-        sizes = np.array([len(c) // 4 for c in coded])
+        # A long text is decoded in pieces, each an ordered aggregation of its own.
+        pieces = [(t, c[i : i + 4 * DECODED]) for t, c in enumerate(coded) for i in range(0, len(c), 4 * DECODED)]
+        found = [""] * len(pieces)
+        for begin in range(0, len(pieces), 256):
+            some = [c for _, c in pieces[begin : begin + 256]]
+            sizes = np.array([len(c) // 4 for c in some])
+            text = np.repeat(np.arange(begin, begin + len(some), dtype=np.int32), sizes)
+            ids = np.frombuffer(b"".join(some), "<u4").astype(np.int32)
+            self.base.register("ids", pa.table({"text": text, "pos": np.arange(len(text), dtype=np.int32), "id": ids}))
+            table = self.base.sql(DECODE).to_arrow_table()
+            self.base.unregister("ids")
+            for t, letters in zip(table.column("text").to_pylist(), table.column("letters").to_pylist()):
+                found[t] = letters
         out = [b""] * len(coded)
-        if not sizes.sum():
-            return out
-        text = np.repeat(np.arange(len(coded), dtype=np.int32), sizes)
-        self.base.register("ids", pa.table({"text": text, "pos": np.arange(len(text)), "id": np.frombuffer(b"".join(coded), "<u4").astype(np.int32)}))
-        found = self.base.sql(DECODE).to_arrow_table()
-        self.base.unregister("ids")
-        for t, b in zip(found.column("text").to_pylist(), found.column("bytes").to_pylist()):
-            out[t] = b
+        for (t, _), letters in zip(pieces, found):
+            out[t] += letters.encode("latin-1")
         return out
 
 
