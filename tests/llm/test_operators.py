@@ -254,10 +254,11 @@ def test_best_part_is_the_least_edit_distance():
 
 
 def test_license_scan(docs, rows, empty):
-    found = {(r.doc_id, r.license): (r.lines, r.dice) for r in license_scan.license_scan(docs).collect()}
+    found = {(r.doc_id, r.license): (r.lines, r.passages, r.dice) for r in license_scan.license_scan(docs).collect()}
     texts = {r[0]: r[1] for r in rows}
     alone = next(i for i, t in texts.items() if t and t.startswith("intro"))
-    assert found == {(alone, "MIT"): (1, 1.0)}
+    inline = next(i for i, t in texts.items() if t and not t.startswith("intro") and "MIT" in t)
+    assert found == {(alone, "MIT"): (1, 1, 1.0), (inline, "MIT"): (0, 1, 1.0)}
     assert license_scan.license_scan(empty).count() == 0
 
 
