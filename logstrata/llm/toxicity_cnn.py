@@ -72,7 +72,11 @@ class ToxicityCnn:
         for kernel in self.filters:
             n = len(words) - len(kernel) + 1
             values = sum(words[j : j + n] @ kernel[j] for j in range(len(kernel)))
-            yield np.concatenate((values, np.zeros((len(words) - n, FILTERS), np.float32)))
+            values = np.concatenate((values, np.zeros((len(words) - n, FILTERS), np.float32)))
+            for j in range(1, len(kernel)):
+                # From here a filter would reach into the next text; rows of zeros before it give the same value, zero.
+                values[first[1:] - j] = 0
+            yield values
 
     def logits(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
         local, first = self._spaced(self._local(rows), first)
