@@ -69,6 +69,9 @@ def _listed(text: str | None, key: str, events: bool) -> list[dict] | None:
 
 @F.arrow_udf(LongType())
 def _judged(rows: pa.Array) -> pa.Array:
+    # Nearly always the parser has taken every text of a batch.
+    if rows.field(1).null_count == len(rows):
+        return rows.field(0)
     done, texts = rows.field(0).to_pylist(), rows.field(1).to_pylist()
     late = ((n, _loaded(t)) for n, t in zip(done, texts))
     return pa.array([n if t is None else pairs(t[0]) for n, t in late], pa.int64())
@@ -76,6 +79,8 @@ def _judged(rows: pa.Array) -> pa.Array:
 
 @F.arrow_udf(StringType())
 def _normalized(texts: pa.Array) -> pa.Array:
+    if texts.null_count == len(texts):
+        return pa.nulls(len(texts), pa.string())
     found = (e and normalized(e[0]) for e in map(_loaded, texts.to_pylist()))
     return pa.array([None if r is None else json.dumps(r, separators=(",", ":"), ensure_ascii=False) for r in found], pa.string())
 

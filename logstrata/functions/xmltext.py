@@ -27,7 +27,7 @@ def _put(node: dict, name: str, value) -> None:
         node[name] = [node[name], value]
 
 
-def _document(xml: bytes) -> dict:
+def document(xml: bytes) -> dict:
     """Nested dict of one XML document.
 
     Attributes and children share a dict, repeats become lists, text beside
@@ -61,7 +61,7 @@ def xml_to_json(documents: pa.Array) -> pa.Array:
     out = []
     for xml in documents.to_pylist():
         try:
-            out.append(None if xml is None else json.dumps(_document(xml)))
+            out.append(None if xml is None else json.dumps(document(xml)))
         except expat.ExpatError:
             out.append(None)
     return pa.array(out, pa.string())

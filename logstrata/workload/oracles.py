@@ -148,6 +148,23 @@ check(
     placed=_CHUNKS,
     events_=_EVENTS,
 )
+# The same records from files of a block each, in which refs begin anew.
+_IN_BLOCK = "over (partition by path, seq // 8192 order by seq rows between unbounded preceding and 1 preceding), 0) as bigint)"
+check(
+    "audit_source",
+    f"select path, seq // 8192 as block, record_ref, {AUDIT_JSON} as record_json, 7 as field_count from framed where line <> ''",
+    "audit_lines",
+    framed=f"select *, cast(coalesce(sum(strlen(line) + 1) {_IN_BLOCK} as record_ref from audit_lines",
+)
+check(
+    "event_xml_source",
+    f"""select path, block, record_ref, concat('{{"Event": {{"xmlns": "urn:x", "System": {{"EventID": "', {_XML["id"]}, '", "EventRecordID": "',
+        {_XML["record"]}, '"}}, "EventData": {{"Data": {{"Name": "CommandLine", "#text": "', {_XML["text"]}, '"}}}}}}}}') as record_json,
+        9 as field_count from events_ where event not like '%<broken%'""",
+    "xml_chunks",
+    placed=f"select *, cast(coalesce(sum(strlen(chunk) + case when terminated then 9 else 1 end) {_IN_BLOCK} as start from xml_chunks",
+    events_=_EVENTS.replace("select path,", "select path, seq // 8192 as block,"),
+)
 check(
     "windows_event_records",
     f"""select path, cast(json_extract(line, '$.Event.System.EventRecordID') as bigint) as record_ref, line as record_json,

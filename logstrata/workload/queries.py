@@ -14,7 +14,7 @@ from logstrata.plans import datasets
 from logstrata.plans.ingest import parse_new
 from logstrata.plans.payloads import RowPayload
 from logstrata.session import configure, materialize, scratch_path
-from logstrata.sources import archives, catalogs, files
+from logstrata.sources import archives, catalogs, datasource, files
 from logstrata.streaming import sessions as arriving
 from logstrata.workload import corpora, packing
 
@@ -137,6 +137,36 @@ def xml_event_fields(spark, sf_dir):
     return fields.select("path", "record_ref", "event_id", "event_record_id", named["_VALUE"].alias("command_line"))
 
 
+def block_files(spark, lines: DataFrame, line: str) -> str:
+    """A folder with a file for each block of each path."""
+    folder = scratch_path(spark, "files")
+    rows = lines.repartition("path", "block").sortWithinPartitions("path", "block", "seq").select("path", "block", F.col(line).alias("value"))
+    rows.write.partitionBy("path", "block").text(folder)
+    return folder
+
+
+def sourced(spark, name: str, folder: str) -> DataFrame:
+    """Records of a folder through a data source, with the path and block that its files are named by."""
+    datasource.register(spark)
+    found = spark.read.format(name).load(folder)
+    place = F.url_decode(F.regexp_extract("path", r"path=([^/]*)/", 1))
+    block = F.regexp_extract("path", r"block=(\d+)/", 1).cast("bigint")
+    return found.select(place.alias("path"), block.alias("block"), "record_ref", "record_json", "field_count")
+
+
+@query
+def audit_source(spark, sf_dir):
+    return sourced(spark, "audit_log", block_files(spark, lines_of(spark, sf_dir, "audit_lines"), "line"))
+
+
+@query
+def event_xml_source(spark, sf_dir):
+    """Events of XML files, each chunk of which ends a line."""
+    chunks = lines_of(spark, sf_dir, "xml_chunks")
+    closed = F.concat("chunk", F.when(F.col("terminated"), F.lit(framing.EVENT_CLOSE)).otherwise(F.lit("")))
+    return sourced(spark, "event_xml", block_files(spark, chunks.withColumn("text", closed), "text"))
+
+
 @query
 def windows_event_records(spark, sf_dir):
     decoded = lines_of(spark, sf_dir, "windows_events").withColumnRenamed("line", "event")
