@@ -140,7 +140,8 @@ def band_edges(met: DataFrame) -> DataFrame:
     share most of these chains, so a cluster sends about one edge a node instead of one for each band of a node. A node has
     no more such neighbours than a signature has bands.
     """
-    of_node = met.groupBy("node").agg(F.array_sort(F.collect_set("a")).alias("least"))
+    # Pairs travel as they are: sets of them, put together before the exchange, would take several times the room.
+    of_node = met.select("node", "a").repartition("node").groupBy("node").agg(F.array_sort(F.collect_set("a")).alias("least"))
     after = F.slice("least", F.lit(2), F.size("least"))
     pairs = F.arrays_zip(F.slice("least", F.lit(1), F.size("least") - 1).alias("a"), after.alias("b"))
     chain = of_node.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
@@ -207,7 +208,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     placed = materialize(placed.select("node", "cluster", "blocks", "block"), "clusters")
     small = sized.where(F.col("blocks") == 1).agg(F.sum("nodes"), F.sum("held")).first()
     groups = max(1, -(-(small[0] or 0) // TOGETHER), -(-(small[1] or 0) // BLOCK_SHINGLES))
-    wanted = source.join(placed, F.col("key") == F.col("node")).select("node", "cluster", "blocks", "block", "text").dropDuplicates(["node", "text"])
+    # Texts meet their place in one way at every size: by an exchange, without a sort.
+    wanted = source.join(placed.hint("shuffle_hash"), F.col("key") == F.col("node")).select("node", "cluster", "blocks", "block", "text").dropDuplicates(["node", "text"])
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(hashes)
