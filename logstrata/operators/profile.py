@@ -121,7 +121,7 @@ def frequent_summaries(values: DataFrame, group: Sequence[str], value: str, coun
             held = counted if held is None else pa.concat_tables([held, counted])
             if held.num_rows > HELD:
                 held = held.group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])
-                kept, less = _reduced(held.to_pandas(), group, counters)
+                kept, less = _reduced(held.to_pandas(integer_object_nulls=True), group, counters)
                 lowered.append(less)
                 if len(kept) > HELD // 2:  # many groups: a new summary begins
                     yield from rows(kept, pd.concat(lowered))
@@ -130,7 +130,7 @@ def frequent_summaries(values: DataFrame, group: Sequence[str], value: str, coun
                     held = pa.Table.from_pandas(kept[[*names, "n"]], pa.schema(list(kind)[:-1]), preserve_index=False)
         if held is not None:
             held = held.group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])
-            kept, less = _reduced(held.to_pandas(), group, counters)
+            kept, less = _reduced(held.to_pandas(integer_object_nulls=True), group, counters)
             yield from rows(kept, pd.concat([*lowered, less]))
 
     return source.mapInArrow(summarise, schema)

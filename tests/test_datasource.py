@@ -46,7 +46,7 @@ def rows(df):
     return sorted((r.path, r.record_ref, r.record_json, r.field_count) for r in df.collect())
 
 
-@pytest.mark.parametrize("size", [61, 1 << 24])
+@pytest.mark.parametrize("size", [257, 1 << 24])
 def test_audit_lines_in_any_ranges(spark, logs, size):
     register(spark)
     records = formats.checked(formats.auditd(files.read_lines(spark, logs)))
@@ -55,7 +55,7 @@ def test_audit_lines_in_any_ranges(spark, logs, size):
     assert rows(got) == rows(want) and got.count() > 50
 
 
-@pytest.mark.parametrize("size", [67, 1 << 24])
+@pytest.mark.parametrize("size", [263, 1 << 24])
 def test_events_in_any_ranges(spark, events, size):
     register(spark)
     want = formats.xml_events(files.read_chunks(spark, events)).select("path", "record_ref", "record_json", "field_count")
