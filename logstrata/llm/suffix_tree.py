@@ -52,16 +52,27 @@ def _windows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return grams(data, DEPTH + 1)[at], np.searchsorted(bounds, at, "right") - 1
 
 
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of sorted keys, and the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(counts, first)
+
+
 def _distinct_windows(table: pa.Table, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct windows of a lot and how often its learning texts hold them."""
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for part in slices(table.to_batches(), text):
         own, owner = _windows(*flat(part.column(text)))
         learn = part.column("_learn").to_numpy(zero_copy_only=False)
-        own, back = np.unique(own, return_inverse=True)
-        n = np.bincount(back, weights=learn[owner], minlength=len(own))
-        keys, back = np.unique(np.concatenate((keys, own)), return_inverse=True)
-        counts = np.bincount(back, weights=np.concatenate((counts, n)), minlength=len(keys)).astype(np.int64)
+        # A window has 48 bits: whether it is learned fits beside it, so that one plain sort does.
+        own = own << 1 | learn[owner]
+        own.sort()
+        own, n = _added(own >> 1, own & 1)
+        both = np.concatenate((keys, own))
+        order = np.argsort(both, kind="stable")  # two sorted runs
+        keys, counts = _added(both[order], np.concatenate((counts, n))[order])
     return keys, counts
 
 
@@ -82,11 +93,17 @@ def _settled_windows(asked: pa.Table) -> pa.Table:
     return pa.table({"bucket": bucket, "gram": keys, "n": counts})
 
 
+def _rounded(logs: np.ndarray) -> np.ndarray:
+    """To 16 bits behind the leading one, an error below a 130,000th; the bits left out take no room."""
+    bits = logs.astype(np.float32).view(np.uint32)
+    return ((bits + np.uint32(1 << 6)) & ~np.uint32((1 << 7) - 1)).view(np.float32)
+
+
 def _answered_windows(asked: pa.Table, known: pa.Table) -> pa.Table:
     """For each lot that asked a bucket, log10 of the probabilities of its windows' last bytes."""
     keys = known.column("gram").to_numpy()
     order = np.argsort(keys)
-    keys, logs = keys[order], known.column("log").to_numpy().astype(np.float32)[order]
+    keys, logs = keys[order], _rounded(known.column("log").to_numpy())[order]
     out = []
     for row in asked.select(["n", "keys"]).to_pylist():
         out.append(_squeezed(logs[np.searchsorted(keys, np.cumsum(_opened(row["keys"], row["n"], np.int64)))]))
