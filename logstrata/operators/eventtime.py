@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logstrata.functions.barrier import once
+from logstrata.session import materialize
 
 # Fixed formats, in the order that settles equal votes.
 EPOCH = r"msg=audit\((\d{9,11})(?:\.(\d{1,6}))?:\d+\)"
@@ -19,6 +20,8 @@ HTTPDATE = r"\[(\d{1,2})/([A-Z][a-z]{2})/(\d{4}):(\d{2}):(\d{2}):(\d{2}) ([+-])(
 FILETIME = r"(?:\A|[^\d.])(1[1-9]\d{16})(?:[^\d.]|\z)"
 ISO = r"(\d{4})-(\d{2})-(\d{2})[T ](\d{2}):(\d{2}):(\d{2})(?:[.,](\d{1,9}))?(?:Z|([+-])(\d{2}):?(\d{2}))?"
 AUDIT_DATE = r"msg=audit\((\d{1,2})/(\d{1,2})/(\d{4}) (\d{2}):(\d{2}):(\d{2})(?:\.(\d{1,6}))?:\d+\)"
+# With the number of groups of each.
+FIXED = [(EPOCH, 2), (HTTPDATE, 9), (FILETIME, 1), (ISO, 10), (AUDIT_DATE, 7)]
 MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
 # Ticks of 100 ns between 1601-01-01 and 1970-01-01.
 FILETIME_EPOCH = 116_444_736_000_000_000
@@ -48,24 +51,34 @@ def _offset(sign: Column, hours: Column, minutes: Column) -> Column:
     return F.coalesce(F.when(sign == "-", -away).otherwise(away), F.lit(0))
 
 
-def _groups(text: Column, regex: str, n: int) -> list[Column]:
-    """The groups of the first match, null where a group or the whole is absent."""
-    return [F.nullif(F.regexp_extract(text, regex, i), F.lit("")) for i in range(1, n + 1)]
+def matches(text: Column) -> Column:
+    """The first match of each fixed format in a text, empty without one."""
+    return F.array(*[F.regexp_extract(text, regex, 0) for regex, _ in FIXED])
 
 
-def candidates(text: Column) -> Column:
-    """What each of ``FORMATS`` reads in a text, as microseconds since 1970 (UTC) or null."""
-    seconds, fraction = _groups(text, EPOCH, 2)
+def match_groups(found: Column) -> Column:
+    """The groups of each match, null where there is none. A match is short, so the text itself is searched once a format."""
+    held = []
+    for i, (regex, n) in enumerate(FIXED):
+        match = F.get(found, F.lit(i))
+        held.append(F.when(match != "", F.array(*[F.regexp_extract(match, regex, k) for k in range(1, n + 1)])))
+    return F.array(*held)
+
+
+def candidates(groups: Column) -> Column:
+    """What each of ``FORMATS`` reads in the groups of the matches, as microseconds since 1970 (UTC) or null."""
+    own = [[F.nullif(F.get(F.get(groups, F.lit(i)), F.lit(k)), F.lit("")) for k in range(n)] for i, (_, n) in enumerate(FIXED)]
+    seconds, fraction = own[0]
     epoch = seconds.cast("bigint") * 1_000_000 + _micros(fraction)
-    day, name, year, *clock, sign, hours, minutes = _groups(text, HTTPDATE, 9)
+    day, name, year, *clock, sign, hours, minutes = own[1]
     month = F.array_position(F.array(*map(F.lit, MONTHS)), name).cast("int")
     http = _instant(year, month, day, clock) - _offset(sign, hours, minutes)
-    (ticks,) = _groups(text, FILETIME, 1)
+    (ticks,) = own[2]
     since = ticks.cast("bigint") - FILETIME_EPOCH
     file = F.call_function("div", since, F.lit(10).cast("bigint"))
-    year, month, day, *clock, fraction, sign, hours, minutes = _groups(text, ISO, 10)
+    year, month, day, *clock, fraction, sign, hours, minutes = own[3]
     iso = _instant(year, _int(month), day, clock) + _micros(fraction) - _offset(sign, hours, minutes)
-    first, second, year, *clock, fraction = _groups(text, AUDIT_DATE, 7)
+    first, second, year, *clock, fraction = own[4]
     dates = [_instant(year, _int(m), d, clock) + _micros(fraction) for m, d in ((first, second), (second, first))]
     return F.array(epoch, http, file, iso, *dates)
 
@@ -91,8 +104,10 @@ def event_times(lines: DataFrame, line: str = "line") -> DataFrame:
     problem that says so; a null line has neither. Zones in the text count; texts without one are UTC. Numeric dates that
     are valid both ways throughout a source are month first.
     """
-    read = once(lines, _read=candidates(F.col(line)))
-    placed = read.join(source_formats(read), ["path", "block"], "left")
+    found = once(lines, _found=matches(F.col(line)))
+    read = once(once(found, _found=match_groups(F.col("_found"))), _read=candidates(F.col("_found"))).drop("_found")
+    # Written first, so that Spark sees whether the lines need an exchange to meet them.
+    placed = read.join(materialize(source_formats(read), "formats"), ["path", "block"], "left")
     fits = F.filter("_formats", lambda f: F.get("_read", f).isNotNull())
     chosen = placed.withColumn("_format", F.get(fits, F.lit(0)))
     return chosen.select(
