@@ -34,7 +34,8 @@ def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str,
     spans = materialize(spans.withColumn("_level", level), "spans")
     cells = spans.withColumn("_cell", F.explode(F.expr("sequence(shiftright(_start, _level), shiftright(_end - 1, _level))")))
     levels = sorted(r["_level"] for r in spans.select("_level").distinct().collect())  # 64 at most
-    timed = points.withColumn("_at", axis(points, at)).where(F.col("_at").isNotNull())
+    # Written once: the points are counted by cell and joined.
+    timed = materialize(points.withColumn("_at", axis(points, at)).where(F.col("_at").isNotNull()), "points")
     placed = timed.withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
     placed = placed.withColumn("_cell", F.expr("shiftright(_at, _level)"))
     place = [*on, "_level", "_cell"]
@@ -77,7 +78,8 @@ def asof_join(
     known = F.lit(True)
     for c in on:
         known = known & F.col(c).isNotNull()
-    timed = rows.withColumn("_at", axis(rows, at))
+    # Written once: the rows are counted by key, cut into blocks and joined.
+    timed = materialize(rows.withColumn("_at", axis(rows, at)), "timed")
     placeable = known & F.col("_at").isNotNull()
     blocked, busy = with_time_block(timed.where(placeable), on, "_at", block_rows)
     dated = versions.select(*on, axis(versions, since).alias("_at"), F.struct(*carried).alias("_version")).where(placeable)
