@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logstrata.operators.timeline import BLOCK_ROWS, axis, with_time_block
+from logstrata.session import materialize
 
 
 def _all_known(columns: Sequence[str]) -> Column:
@@ -29,7 +30,8 @@ def sessions(rows: DataFrame, on: Sequence[str], at: str, gap: int, sums: Sequen
     time belong to no session. Null values count as nothing in a sum, which is null if all are.
     """
     on = list(on)
-    timed = rows.select(*on, axis(rows, at).alias("_at"), *sums).where(_all_known([*on, "_at"]))
+    # Written once: the rows are counted by key and put in order.
+    timed = materialize(rows.select(*on, axis(rows, at).alias("_at"), *sums).where(_all_known([*on, "_at"])), "timed")
     blocked, _ = with_time_block(timed, on, "_at", block_rows)
     order = Window.partitionBy(*on, "_block").orderBy("_at")
     opens = (F.col("_at").cast("decimal(20,0)") - F.lag("_at").over(order) > gap).cast("bigint")
