@@ -116,7 +116,7 @@ def frequent_summaries(values: DataFrame, group: Sequence[str], value: str, coun
         held, lowered = None, []
         for batch in batches:
             if kind is None:
-                kind = pa.schema([*(batch.schema.field(c) for c in names), ("n", pa.int64()), ("less", pa.int64())])
+                kind = pa.schema([*(batch.schema.field(c).with_nullable(True) for c in names), ("n", pa.int64()), ("less", pa.int64())])
             counted = pa.Table.from_batches([batch]).group_by(names).aggregate([([], "count_all")]).rename_columns([*names, "n"])
             held = counted if held is None else pa.concat_tables([held, counted])
             if held.num_rows > HELD:
@@ -145,7 +145,9 @@ def top_values(values: DataFrame, group: Sequence[str], value: str, k: int, coun
     distinct values, and a group is nowhere collected. Null values don't count; null groups are groups.
     """
     group = list(group)
-    parts = materialize(frequent_summaries(values, group, value, counters), "summaries")
+    # Written once: the values are summarised and counted, and taking them from records is the costly part.
+    asked = materialize(values.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("value")), "values")
+    parts = materialize(frequent_summaries(asked, group, "value", counters), "summaries")
     merged = parts.where("value is not null").groupBy(*group, "value").agg(F.sum("n").alias("n"))
     # A group may have lost every counter, so groups come from the errors too.
     error = parts.groupBy(*group).agg(F.sum("less").alias("_error"))
@@ -156,7 +158,6 @@ def top_values(values: DataFrame, group: Sequence[str], value: str, k: int, coun
     known = materialize(known.withColumn("_open", (F.col("_bound") <= F.col("_error")) & (F.col("_error") > 0)), "bounds")
     settled = _joined(merged, known.where(~F.col("_open")), group, "inner")
     likely = settled.where(F.col("n") + F.col("_error") >= F.col("_bound")).select(*group, "value")
-    asked = values.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("value"))
     some = _joined(asked, likely, [*group, "value"], "left_semi")
     rest = _joined(asked, known.where("_open").select(*group), group, "left_semi")
     exact = some.unionByName(rest).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
