@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logstrata.functions import jsontext, pytext
 from logstrata.operators.framing import line_offsets
 from logstrata.operators.ordering import ordered_prefix
+from logstrata.sources import files
 
 SHARD_SIZE = 10_000
 
@@ -103,6 +104,7 @@ def write_shards(sharded: DataFrame, path: str) -> None:
         .sortWithinPartitions("shard_id", "idx")
         .select("shard_id", F.col("line").alias("value"))
         .write.partitionBy("shard_id")
+        .option(*files.COMMIT_BY_TASKS)
         .text(path)
     )
 

@@ -18,6 +18,9 @@ WHOLE_FILE_LIMIT = 1 << 30
 # Up to this many paths are handed to a reader by name, so nothing else is
 # scanned; beyond it the whole place is scanned and joined.
 NAMED_PATHS = 100_000
+# A writer's option: tasks put their files in place themselves, instead of the driver moving all of them one by one at the end.
+# For folders that nobody reads before the write is over.
+COMMIT_BY_TASKS = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
 
 
 def literal(path: str) -> str:

@@ -141,7 +141,7 @@ def block_files(spark, lines: DataFrame, line: str) -> str:
     """A folder with a file for each block of each path."""
     folder = scratch_path(spark, "files")
     rows = lines.repartition("path", "block").sortWithinPartitions("path", "block", "seq").select("path", "block", F.col(line).alias("value"))
-    rows.write.partitionBy("path", "block").text(folder)
+    rows.write.partitionBy("path", "block").option(*files.COMMIT_BY_TASKS).text(folder)
     return folder
 
 
