@@ -81,8 +81,9 @@ def gz_members(files: DataFrame) -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = None if not content.is_valid else gzip.decompress(content.as_buffer())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([path.removesuffix(".gz")]), pa.array([gzip.decompress(content.as_py())], pa.binary())],
+                    [pa.array([path.removesuffix(".gz")]), pa.array([data], pa.binary())],
                     names=["path", "content"],
                 )
 

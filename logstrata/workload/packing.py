@@ -42,4 +42,4 @@ def pack(files: DataFrame) -> DataFrame:
 
 @F.arrow_udf(BinaryType())
 def gzipped(contents: pa.Array) -> pa.Array:
-    return pa.array([gzip.compress(c, mtime=0) for c in contents.to_pylist()], pa.binary())
+    return pa.array([None if c is None else gzip.compress(c, mtime=0) for c in (v.as_buffer() for v in contents)], pa.binary())
