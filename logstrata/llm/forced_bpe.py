@@ -54,6 +54,26 @@ def read_rules(path: str) -> dict:
     return {"vocabulary": model["vocab"], "merges": merges, "suffix": suffix, "pattern": pattern[0], "added": {t["content"]: t["id"] for t in given["added_tokens"]}}
 
 
+def plain_pattern(pattern: str) -> re.Pattern:
+    """A pattern of the ``regex`` library for texts without characters above U+FFFF: its classes are written out, so that Python's
+    faster matcher takes it.
+    """
+    escape = r"\\(?:[pP]\{\^?\w+\}|[sSdDwW])"
+    ranges = {}
+    for kind in set(re.findall(escape, pattern)):
+        # Surrogates are in no text.
+        runs = regex.finditer(kind + "+", "".join(chr(c) for c in range(1 << 16) if not 0xD800 <= c < 0xE000))
+        ranges[kind] = "".join(f"\\u{ord(r.group()[0]):04x}-\\u{ord(r.group()[-1]):04x}" for r in runs)
+    out, inside = [], False
+    for part in re.findall(escape + r"|\\.|.", pattern, re.S):
+        if part in ranges:
+            out.append(ranges[part] if inside else f"[{ranges[part]}]")
+        else:
+            inside = part == "[" or inside and part != "]"
+            out.append(part)
+    return re.compile("".join(out))
+
+
 class Cutter:
     """Which symbols may stand next to each other inside a token, and the merges of what lies between the cuts."""
 
@@ -75,11 +95,12 @@ class Cutter:
         self.rank = {vocabulary[a] << 32 | vocabulary[b]: r for r, (a, b) in enumerate(rules["merges"])}
         self.made = [vocabulary[a + b] for a, b in rules["merges"]]
         self.tokens = {i: t for t, i in (vocabulary | rules["added"]).items()}
-        self.split = regex.compile(rules["pattern"]).findall
+        self.split, self.split_any = plain_pattern(rules["pattern"]).findall, regex.compile(rules["pattern"]).findall
         added = sorted(rules["added"], key=len, reverse=True)
         self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        # Ids and tokens of a word.
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
         self.fragments: dict[bytes, bytes] = {}
         self.seen: set[str] = set()
         self.strange: set[str] = set()
@@ -102,7 +123,9 @@ class Cutter:
                 self.library = steps, pre_tokenizers.Split(Regex(self.rules["pattern"]), "removed", invert=True)
             return [w for w, _ in self.library[1].pre_tokenize_str(self.library[0].normalize_str(text))]
         # Letter by letter, so a sigma at a word's end has no form of its own.
-        return self.split(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        # From U+F900 on some letters are composed to ones above U+FFFF.
+        return (self.split if max(letters) < "\uf900" else self.split_any)(text)
 
     def merge(self, fragment: np.ndarray) -> bytes:
         """The ids of one fragment: the pair of least rank first, then the leftmost."""
@@ -148,28 +171,28 @@ class Cutter:
         first = np.searchsorted(starts, np.concatenate(([0], ends))).tolist()
         return [b"".join(ids[a:b]) for a, b in zip(first, first[1:])]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
+    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """The ids of each text as little-endian 32-bit integers, and the text they decode to."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         parts = [self.added.split(t) if self.added and "<" in t else [t] for t in texts]
-        words = [[p] if k % 2 else self.words(p) for part in parts for k, p in enumerate(part)]
-        plain = [w for w, k in zip(words, (k for part in parts for k in range(len(part)))) if not k % 2]
+        words = [[self.words(p) for p in part[::2]] for part in parts]
         missing = []
-        for w in set().union(*plain) - self.young.keys():
+        for w in set().union(*(w for part in words for w in part)) - self.young.keys():
             if w in self.old:
                 self.young[w] = self.old[w]
             else:
                 missing.append(w)
         if missing:
-            self.young.update(zip(missing, self.encode_words(missing)))
-        coded, out = iter(words), []
-        for part in parts:
-            own = []
-            for k in range(len(part)):
-                w = next(coded)
-                own += [self.rules["added"][w[0]].to_bytes(4, "little")] if k % 2 else map(self.young.__getitem__, w)
-            out.append(b"".join(own))
+            self.young.update((w, (ids, self.decode(np.frombuffer(ids, "<u4")))) for w, ids in zip(missing, self.encode_words(missing)))
+        out, known = [], self.young.__getitem__
+        for part, own in zip(parts, words):
+            pairs = list(map(known, own[0]))
+            for token, more in zip(part[1::2], own[1:]):
+                number = self.rules["added"][token]
+                pairs.append((number.to_bytes(4, "little"), self.tokens[number]))
+                pairs += map(known, more)
+            out.append((b"".join([ids for ids, _ in pairs]), " ".join([tokens for _, tokens in pairs])))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
@@ -207,8 +230,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", carry: list[str] | No
         own = cutter(rules)
         for part in slices(batches, "_forced_text"):
             coded = own.encode([t or "" for t in part.column("_forced_text").to_pylist()])
+            coded, decoded = ([pair[k] for pair in coded] for k in range(2))
             sizes = np.array([len(c) // 4 for c in coded], np.int64)
-            decoded = [own.decode(np.frombuffer(c, "<u4")) for c in coded]
             columns = [
                 pa.array(sizes),
                 pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string()),
