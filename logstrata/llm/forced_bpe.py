@@ -171,8 +171,12 @@ class Cutter:
         first = np.searchsorted(starts, np.concatenate(([0], ends))).tolist()
         return [b"".join(ids[a:b]) for a, b in zip(first, first[1:])]
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """The ids of each text as little-endian 32-bit integers, and the text they decode to."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        return [ids for ids, _ in self.code(texts)]
+
+    def code(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """The ids of each text, and the text they decode to."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         parts = [self.added.split(t) if self.added and "<" in t else [t] for t in texts]
@@ -229,7 +233,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", carry: list[str] | No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = cutter(rules)
         for part in slices(batches, "_forced_text"):
-            coded = own.encode([t or "" for t in part.column("_forced_text").to_pylist()])
+            coded = own.code([t or "" for t in part.column("_forced_text").to_pylist()])
             coded, decoded = ([pair[k] for pair in coded] for k in range(2))
             sizes = np.array([len(c) // 4 for c in coded], np.int64)
             columns = [

@@ -31,4 +31,4 @@ def test_a_written_out_pattern_finds_the_same_words():
     own = forced_bpe.Cutter(rules)
     # Composed, the first is a letter above U+FFFF.
     assert own.words("\ufa6c a") == ["\U000242ee", "a"]
-    assert own.encode(["It's <|endoftext|>ß", ""]) == [(ids := own.encode(["It's <|endoftext|>ß"])[0][0], own.decode(np.frombuffer(ids, "<u4"))), (b"", "")]
+    assert own.code(["It's <|endoftext|>ß", ""]) == [(ids := own.encode(["It's <|endoftext|>ß"])[0], own.decode(np.frombuffer(ids, "<u4"))), (b"", "")]
