@@ -14,15 +14,16 @@ and answer each lot. Both tests of a context and the smoothing are Spark aggrega
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstrata.llm.bytegrams import grams, inside_texts, padded
+from logstrata.llm.bytegrams import inside_texts, padded
 from logstrata.llm.lots import bucket_count, from_blob, opened, pack
-from logstrata.llm.textblocks import LOWER, SPACE, PrefixHash, flat, mix, per_text, slices, word_spans
+from logstrata.llm.textblocks import LOWER, SPACE, PrefixHash, flat, mix, per_text, release, slices, word_spans
 from logstrata.session import materialize
 
 DEPTH = 5
@@ -31,6 +32,10 @@ DIVERGENCE = 0.01
 BUCKET_BYTES = 16 << 20
 END = mix(np.zeros(1, np.uint64) + np.uint64(1))[0]
 FOLD = np.where(SPACE, np.uint8(32), LOWER)
+#: A window has 48 bits; the number of its text in a slice has the other 16.
+SLICE_TEXTS = 1 << 16
+SLICE_BYTES = 1 << 19
+BATCH_ROWS = 2048
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -45,35 +50,84 @@ def _opened(blob: bytes, n: int, kind: type) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(width, n).T.copy().view(kind).ravel()
 
 
-def _windows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every byte and end with the ``DEPTH`` bytes before it, and the text number of each."""
-    data, bounds = padded(FOLD[data], bounds, DEPTH)
-    at = np.flatnonzero(inside_texts(bounds, DEPTH + 1))
-    return grams(data, DEPTH + 1)[at], np.searchsorted(bounds, at, "right") - 1
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """For what runs inside, texts go to Python ``BATCH_ROWS`` rows at a time: both sides hold a batch whole."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _freed(result: pa.Table) -> pa.Table:
+    """What a function made of a group, all else that it held being handed back before the worker goes on or idles."""
+    release()
+    return result
+
 
+def _slices(table: pa.Table, text: str) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``SLICE_TEXTS`` texts and ``SLICE_BYTES`` bytes, or one text."""
+    for part in slices(table.to_batches(), text, SLICE_BYTES):
+        for first in range(0, part.num_rows, SLICE_TEXTS):
+            yield part.slice(first, SLICE_TEXTS)
 
-def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of sorted keys, and the sums of their counts."""
-    if not len(keys):
-        return keys, counts
+
+def _windows(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Every byte and end with the ``DEPTH`` bytes before it, and the text number in the lower 16 bits."""
+    texts, occurrences = len(bounds) - 1, np.diff(bounds) + 1
+    data, bounds = padded(FOLD[data], bounds, DEPTH)
+    inside = inside_texts(bounds, DEPTH + 1)
+    # All windows are read at once, as overlapping numbers of eight bytes of which the last two make way for the text number.
+    wide = np.ndarray(len(inside), ">u8", np.concatenate((data, np.zeros(2, np.uint8))), strides=(1,)).astype(np.uint64)[inside]
+    wide &= ~np.uint64(SLICE_TEXTS - 1)
+    wide |= np.repeat(np.arange(texts, dtype=np.uint64), occurrences)
+    return wide
+
+
+def _window_runs(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct windows of a slice, where each begins among all of them in that order, and the text number of all."""
+    wide = _windows(*flat(part.column(text)))
+    wide.sort()
+    owner = wide.astype(np.uint16)
+    wide >>= np.uint64(16)
+    first = np.flatnonzero(np.concatenate(([True], wide[1:] != wide[:-1])))
+    return wide[first].view(np.int64), first.astype(np.int32 if len(wide) < 1 << 31 else np.int64), owner
+
+
+def _distinct(found: list[np.ndarray], kind: type) -> np.ndarray:
+    """Sorted distinct values of some arrays."""
+    keys = np.concatenate([np.zeros(0, kind), *found])
+    keys.sort()
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)]]
+
+
+def _added(found: list[tuple[np.ndarray, np.ndarray]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values of some arrays, and the sums of their counts."""
+    if not found:
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    keys, counts = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(keys)
+    keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[first], np.add.reduceat(counts, first)
+    return keys[first], np.add.reduceat(counts[order], first)
 
 
-def _distinct_windows(table: pa.Table, text: str) -> tuple[np.ndarray, np.ndarray]:
+def _counted_windows(table: pa.Table, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct windows of a lot and how often its learning texts hold them."""
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for part in slices(table.to_batches(), text):
-        own, owner = _windows(*flat(part.column(text)))
-        learn = part.column("_learn").to_numpy(zero_copy_only=False)
-        # A window has 48 bits: whether it is learned fits beside it, so that one plain sort does.
-        own = own << 1 | learn[owner]
-        own.sort()
-        own, n = _added(own >> 1, own & 1)
-        both = np.concatenate((keys, own))
-        order = np.argsort(both, kind="stable")  # two sorted runs
-        keys, counts = _added(both[order], np.concatenate((counts, n))[order])
-    return keys, counts
+    found, size, limit = [], 0, 1 << 20
+    for part in _slices(table, text):
+        keys, first, owner = _window_runs(part, text)
+        learn = part.column("_learn").to_numpy(zero_copy_only=False).astype(np.int64)
+        found.append((keys, np.add.reduceat(learn[owner], first)))
+        size += len(keys)
+        if size > limit:
+            found = [_added(found, np.int64)]
+            size = len(found[0][0])
+            limit = max(limit, 2 * size)
+    return _added(found, np.int64)
 
 
 def _bucket_order(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,27 +211,25 @@ def grow(counts: DataFrame) -> DataFrame:
     return scored.select("bucket", "gram", F.log10("p").alias("log"))
 
 
-def _tokens(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes, bounds, and the hash and text number of every token, an end behind each text."""
+def _token_runs(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct token hashes of a slice, an end behind each text; which of them every token is, and its text number."""
     data, bounds = flat(part.column(text))
     lower = LOWER[data]
     starts, ends, owner = word_spans(lower, bounds)
     texts = len(bounds) - 1
     hashes = np.concatenate((PrefixHash(lower).of(starts, ends), np.full(texts, END, np.uint64)))
-    return data, bounds, hashes, np.concatenate((owner, np.arange(texts)))
+    keys, back = np.unique(hashes, return_inverse=True)
+    return keys, back.astype(np.int32 if len(keys) < 1 << 31 else np.int64), np.concatenate((owner, np.arange(texts))).astype(np.uint16)
 
 
-def _distinct(table: pa.Table, text: str) -> tuple[np.ndarray, np.ndarray]:
+def _counted_tokens(table: pa.Table, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct tokens of a lot and how often its learning texts hold them."""
-    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for part in slices(table.to_batches(), text):
-        _, _, hashes, owner = _tokens(part, text)
+    found = []
+    for part in _slices(table, text):
+        keys, back, owner = _token_runs(part, text)
         learn = part.column("_learn").to_numpy(zero_copy_only=False)
-        own, back = np.unique(hashes, return_inverse=True)
-        n = np.bincount(back, weights=learn[owner], minlength=len(own)).astype(np.int64)
-        keys, back = np.unique(np.concatenate((keys, own)), return_inverse=True)
-        counts = np.bincount(back, weights=np.concatenate((counts, n)), minlength=len(keys)).astype(np.int64)
-    return keys, counts
+        found.append((keys, np.bincount(back, weights=learn[owner], minlength=len(keys)).astype(np.int64)))
+    return _added(found, np.uint64)
 
 
 def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame:
@@ -190,13 +242,14 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
     new = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     names = [c for c in docs.columns if c not in new]
     marked = docs.select(*names, F.col(text).alias("_text"), F.coalesce(learn, F.lit(False)).alias("_learn"))
-    lots = pack(marked, "_text")
+    with _small_batches(docs.sparkSession):
+        lots = pack(marked, "_text")
     buckets = bucket_count(lots, BUCKET_BYTES)
     edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lot, rows in opened(batches):
-            keys, counts = _distinct(rows, "_text")
+            keys, counts = _counted_tokens(rows, "_text")
             cuts = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 span = slice(cuts[b], cuts[b + 1])
@@ -225,7 +278,7 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
 
     def ask_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lot, rows in opened(batches):
-            keys, counts = _distinct_windows(rows, "_text")
+            keys, counts = _counted_windows(rows, "_text")
             order, cuts = _bucket_order(keys, buckets)
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 own = order[cuts[b] : cuts[b + 1]]
@@ -235,13 +288,13 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in values], names=["bucket", "lot", "n", "keys", "counts"])
 
     windows = materialize(lots.mapInArrow(ask_windows, "bucket long, lot long, n long, keys binary, counts binary"), "windows")
-    counts = windows.groupBy("bucket").applyInArrow(_settled_windows, "bucket long, gram long, n long")
+    counts = windows.groupBy("bucket").applyInArrow(lambda asked: _freed(_settled_windows(asked)), "bucket long, gram long, n long")
     grown = grow(materialize(counts, "contexts"))
     logs = windows.drop("counts").groupBy("bucket").cogroup(grown.groupBy("bucket"))
-    logs = logs.applyInArrow(_answered_windows, "lot long, bucket long, n long, logs binary")
+    logs = logs.applyInArrow(lambda asked, known: _freed(_answered_windows(asked, known)), "lot long, bucket long, n long, logs binary")
 
     asked = lots.mapInArrow(ask, "bucket long, lot long, keys binary, counts binary")
-    answers = asked.groupBy("bucket").applyInArrow(settle, "lot long, bucket long, n long, known binary, tokens long, kinds long")
+    answers = asked.groupBy("bucket").applyInArrow(lambda asked: _freed(settle(asked)), "lot long, bucket long, n long, known binary, tokens long, kinds long")
     answers = materialize(answers, "token-counts")
     totals = answers.agg(F.sum("tokens"), F.sum("kinds")).first()
     tokens, kinds = totals[0] or 0, totals[1] or 0
@@ -250,8 +303,10 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
 
     def scored(packed: pa.Table, known: pa.Table) -> pa.Table:
         rows = from_blob(packed.column("blob")[0].as_buffer())
-        keys, _ = _distinct(rows, "_text")
-        windows, _ = _distinct_windows(rows, "_text")
+        # Tokens are made once; windows, which are more and which one plain sort makes, twice rather than kept.
+        parts = [(part, *_token_runs(part, "_text")) for part in _slices(rows, "_text")]
+        keys = _distinct([own for _, own, _, _ in parts], np.uint64)
+        windows = _distinct([_window_runs(part, "_text")[0] for part, *_ in parts], np.int64)
         known = known.sort_by("bucket")
 
         def answers(column: str, kind: type) -> np.ndarray:
@@ -264,21 +319,20 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
         window_logs = np.zeros(len(windows), np.float32)
         window_logs[order] = answers("logs", np.float32)
         out = []
-        for part in slices(rows.to_batches(), "_text"):
-            data, bounds, hashes, owner = _tokens(part, "_text")
-            texts, at = len(bounds) - 1, np.searchsorted(keys, hashes)
-            own, of_text = _windows(data, bounds)
-            own, back = np.unique(own, return_inverse=True)
-            score = np.bincount(of_text, weights=window_logs[np.searchsorted(windows, own)][back], minlength=texts)
+        for part, own, back, owner in parts:
+            texts, at = part.num_rows, np.searchsorted(keys, own)
+            own_windows, first, of_text = _window_runs(part, "_text")
+            runs = np.diff(first, append=len(of_text))
+            score = np.bincount(of_text, weights=np.repeat(window_logs[np.searchsorted(windows, own_windows)], runs), minlength=texts)
             columns = [
                 pa.array(per_text(np.ones(len(owner)), owner, texts)),
-                pa.array(per_text(counts[at] > 0, owner, texts)),
+                pa.array(per_text((counts[at] > 0)[back], owner, texts)),
                 pa.array(np.full(texts, tokens, np.int64)),
-                pa.array(np.bincount(owner, weights=logs[at], minlength=texts)),
+                pa.array(np.bincount(owner, weights=logs[at][back], minlength=texts)),
                 pa.array(score),
             ]
             out.append(pa.RecordBatch.from_arrays([*part.columns[:-2], *columns], names=[*part.schema.names[:-2], *new]))
         return pa.Table.from_batches(out)
 
     answers = answers.select("lot", "bucket", "n", "known").unionByName(logs, allowMissingColumns=True)
-    return lots.groupBy("lot").cogroup(answers.groupBy("lot")).applyInArrow(scored, schema)
+    return lots.groupBy("lot").cogroup(answers.groupBy("lot")).applyInArrow(lambda packed, known: _freed(scored(packed, known)), schema)
