@@ -36,6 +36,8 @@ FOLD = np.where(SPACE, np.uint8(32), LOWER)
 SLICE_TEXTS = 1 << 16
 SLICE_BYTES = 1 << 19
 BATCH_ROWS = 2048
+#: Lots are written once and sent once more, which is most of the disk.
+LOT_LEVEL = 3
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -243,7 +245,7 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text") -> DataFrame
     names = [c for c in docs.columns if c not in new]
     marked = docs.select(*names, F.col(text).alias("_text"), F.coalesce(learn, F.lit(False)).alias("_learn"))
     with _small_batches(docs.sparkSession):
-        lots = pack(marked, "_text")
+        lots = pack(marked, "_text", level=LOT_LEVEL)
     buckets = bucket_count(lots, BUCKET_BYTES)
     edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
 

@@ -10,7 +10,8 @@ import pyarrow as pa
 import regex
 
 from logstrata.llm import forced_bpe
-from logstrata.llm.suffix_tree import SLICE_TEXTS, _bucket_order, _counted_windows, _slices, _token_runs, _window_runs, score_texts
+from logstrata.llm.lots import from_blob, to_blob
+from logstrata.llm.suffix_tree import LOT_LEVEL, SLICE_TEXTS, _bucket_order, _counted_windows, _slices, _token_runs, _window_runs, score_texts
 
 
 def test_windows_with_the_same_first_bytes_share_a_bucket():
@@ -57,6 +58,15 @@ def test_a_slice_numbers_its_texts_in_16_bits(spark):
     assert rows[0][:2] == (1, 1) and rows[n - 1][:2] == (3, 3) and rows[n - 1] == rows[n - 2]
 
 
+def test_a_higher_level_packs_the_same_rows_into_less():
+    draw = np.random.default_rng(6)
+    words = ["".join(map(chr, draw.integers(97, 123, 6))) for _ in range(3_000)]
+    rows = pa.table({"id": range(400), "text": [" ".join(draw.choice(words, 200)) for _ in range(400)]})
+    plain, small = to_blob(rows), to_blob(rows, LOT_LEVEL)
+    assert from_blob(plain).equals(rows) and from_blob(small).equals(rows)
+    assert len(small) < 0.97 * len(plain)
+
+
 def test_a_written_out_pattern_finds_the_same_words():
     rules = forced_bpe.read_rules(public_tokenizers.path("word_bpe_49k.json"))
     for pattern in (rules["pattern"], r"\p{Lu}+|[^\S\d]|\[|\w"):
