@@ -118,6 +118,8 @@ def frequent_summaries(values: DataFrame, group: Sequence[str], value: str, coun
             if kind is None:
                 kind = pa.schema([*(batch.schema.field(c).with_nullable(True) for c in names), ("n", pa.int64()), ("less", pa.int64())])
             counted = pa.Table.from_batches([batch]).group_by(names).aggregate([([], "count_all")]).rename_columns([*names, "n"])
+            # A batch may say that a column holds no null, which a lowered summary does not: one schema for both.
+            counted = counted.cast(pa.schema(list(kind)[:-1]))
             held = counted if held is None else pa.concat_tables([held, counted])
             if held.num_rows > HELD:
                 held = held.group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])

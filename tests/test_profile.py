@@ -90,6 +90,36 @@ def test_top_values_are_exact(spark, monkeypatch, counters, k):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.fixture
+def small_batches(spark):
+    """Hand a task its rows in many batches, as it gets those of a large table."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("counters", [1, 3])
+def test_a_lowered_summary_takes_further_batches(spark, monkeypatch, small_batches, counters):
+    monkeypatch.setattr(profile, "HELD", 30)
+    draw = random.Random(6)
+    rows = [(g, f"v{int(draw.paretovariate(0.6)) % 200}") for g in ("hot", None) for _ in range(400)] + [("hot", None)]
+    draw.shuffle(rows)
+    values = spark.createDataFrame(rows, "g string, v string").repartition(2)
+    true = collections.Counter(r for r in rows if r[1] is not None)
+    low, error = collections.Counter(), collections.Counter()
+    for r in profile.frequent_summaries(values, ["g"], "v", counters).collect():
+        error[r.g] += r.less
+        if r.value is not None:
+            low[r.g, r.value] += r.n
+    assert error["hot"] > 0 and error[None] > 0
+    assert all(low[r] <= true[r] <= low[r] + error[r[0]] for r in true)
+    want = {(g, n + 1, v, c) for g in ("hot", None) for n, ((_, v), c) in enumerate(sorted((x for x in true.items() if x[0][0] == g), key=lambda x: (-x[1], x[0][1]))[:4])}
+    got = [tuple(r) for r in profile.top_values(values, ["g"], "v", 4, counters).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_summaries_bound_every_count(spark):
     draw = random.Random(3)
     rows = [("g", f"v{int(draw.paretovariate(0.5)) % 500}") for _ in range(3000)]
